@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trailmark.llm import multiset_hash, simhash
+from trailmark.llm import multiset_hash, simhash, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = substring.dedup_substrings(docs, window=50, batches=2, layout=False)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.fingerprint_edits(_table(spark, sf_dir, "documents"))
 
@@ -19,5 +26,17 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
-QUERIES = {"op8_fingerprints": op8_fingerprints, "op9_simhash": op9_simhash}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op8_fingerprints": op8_fingerprints, "op9_simhash": op9_simhash}
+#: Words, windows and owners spelt out.
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+own AS (SELECT s, min(doc_id) AS own FROM win GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT DISTINCT win.doc_id, i + k AS p FROM win JOIN own USING (s), range(50) r(k) WHERE own < win.doc_id),
+gone AS (SELECT doc_id, list(p) AS ps FROM hit GROUP BY doc_id),
+kept AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed, w, ps FROM d LEFT JOIN gone USING (doc_id)),
+words AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d) u WHERE NOT EXISTS (SELECT 1 FROM hit WHERE hit.doc_id = u.doc_id AND hit.p = u.p) GROUP BY doc_id)
+SELECT kept.doc_id, n_words, n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM kept LEFT JOIN words USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": SUBSTRING_SQL}
