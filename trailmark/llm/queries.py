@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import multiset_hash, simhash, substring
+from trailmark.llm import multiset_hash, packing, simhash, substring, token_output
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), capacity=1024)
+
+
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.packed_rows(_table(spark, sf_dir, "documents"), capacity=2048)
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.fingerprint_edits(_table(spark, sf_dir, "documents"))
 
@@ -26,7 +34,13 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op8_fingerprints": op8_fingerprints, "op9_simhash": op9_simhash}
+QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op7_token_output": op7_token_output,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_simhash": op9_simhash,
+}
 #: Words, windows and owners spelt out.
 SUBSTRING_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),

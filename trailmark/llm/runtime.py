@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -55,7 +56,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20)
         col = batch.column(batch.schema.get_field_index(column))
         if not len(col):
             continue
-        sizes = pa.compute.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False)
         at, total = 0, 0
         for i, n in enumerate(sizes):
             if i > at and total + n > most:

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 
 U = np.uint64
 SPACE = np.zeros(256, bool)
