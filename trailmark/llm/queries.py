@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import multiset_hash, packing, simhash, substring, token_output
+from trailmark.llm import multiset_hash, packing, quality, simhash, substring, token_output, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), capacity=1024)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), folds=4, held_out=2, threshold=0.3)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), folds=5, held_out=0, threshold=0.3)
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.packed_rows(_table(spark, sf_dir, "documents"), capacity=2048)
 
@@ -37,6 +45,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_toxicity": op3_toxicity,
+    "op5_quality": op5_quality,
     "op7_token_output": op7_token_output,
     "op8_fingerprints": op8_fingerprints,
     "op9_simhash": op9_simhash,
