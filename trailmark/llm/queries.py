@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import multiset_hash, packing, quality, simhash, substring, token_output, toxicity
+from trailmark.llm import decontaminate, multiset_hash, packing, quality, simhash, substring, token_output, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), folds=5, held_out=0, threshold=0.3)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.packed_rows(_table(spark, sf_dir, "documents"), capacity=2048)
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_toxicity": op3_toxicity,
     "op5_quality": op5_quality,
+    "op6_decontamination": op6_decontamination,
     "op7_token_output": op7_token_output,
     "op8_fingerprints": op8_fingerprints,
     "op9_simhash": op9_simhash,

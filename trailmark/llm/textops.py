@@ -14,6 +14,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+CLOSING = np.zeros(256, bool)
+CLOSING[list(b".,;:!?\"')]}")] = True
 
 #: Odd bases of the two independent lanes.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -92,6 +94,20 @@ class Words:
         np.cumsum((self.data.astype(U) + U(1)) * up[: len(self.data)], out=total[1:])
         return mix((total[self.ends] - total[self.starts]) * down[self.starts] + (self.ends - self.starts).astype(U) * U(0xA24BAED4963EE407))
 
+    def bare(self) -> np.ndarray:
+        """Ends of the words without up to three closing punctuation marks; of each word one byte stays."""
+        ends = self.ends.copy()
+        for _ in range(3 if len(ends) else 0):
+            ends = np.where((ends - self.starts > 1) & CLOSING[self.data[ends - 1]], ends - 1, ends)
+        return ends
+
+    def bare_hashes(self) -> np.ndarray:
+        """A 64-bit hash of each word without closing punctuation."""
+        whole, self.ends = self.ends, self.bare()
+        h = self.hashes()
+        self.ends = whole
+        return h
+
     def runs(self, h: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
         """A hash of each k words in a row, by the first; those that cross a document's end too."""
         n = len(h)

@@ -26,8 +26,6 @@ from trailmark.llm.textops import BASES, U, Words, mix, powers
 BITS, FACTORS, SAMPLE, LEAST, EPOCHS = 18, 6, 20_000, 3.0, 12
 #: Weight of a toxic row against a clean one.
 GAIN = 4.0
-CLOSING = np.zeros(256, bool)
-CLOSING[list(b".,;:!?\"')]}")] = True
 
 
 def terms(col: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -38,9 +36,7 @@ def terms(col: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     up, down = powers(BASES[0], len(w.data) + 1)
     total = np.zeros(len(w.data) + 1, U)
     np.cumsum((w.data.astype(U) + U(1)) * up[: len(w.data)], out=total[1:])
-    ends = w.ends.copy()
-    for _ in range(3):
-        ends = np.where((ends - w.starts > 1) & CLOSING[w.data[ends - 1]], ends - 1, ends)
+    ends = w.bare()
     got = [((total[ends] - total[w.starts]) * down[w.starts] + (ends - w.starts).astype(U) * U(0xA24BAED4963EE407), w.doc)]
     for k in (4, 5):
         long = ends - w.starts > k
