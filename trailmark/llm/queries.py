@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import decontaminate, multiset_hash, packing, quality, simhash, substring, token_output, toxicity
+from trailmark.llm import chat, decontaminate, html_extract, multiset_hash, packing, quality, simhash, substring, token_output, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), folds=4, held_out=2, threshold=0.3)
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), folds=5, held_out=0, threshold=0.3)
 
@@ -46,15 +50,22 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(chat.control_rows(spark))
+    return chat.read_back(chat.format_turns(said))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_toxicity": op3_toxicity,
+    "op4_html_extraction": op4_html_extraction,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op7_token_output": op7_token_output,
     "op8_fingerprints": op8_fingerprints,
     "op9_simhash": op9_simhash,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 #: Words, windows and owners spelt out.
 SUBSTRING_SQL = r"""

@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,7 +152,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", name: st
 HOT = 4096
 
 
-def _band_keys(blocks: int, free: int, col: str, bits: int = 64, low: int = 0) -> F.Column:
+def _band_keys(blocks: int, free: int, col: str, bits: int = 64, low: int = 0) -> Column:
     """An array of (band, key): the bits of all but `free` of the blocks of a fingerprint's bits from low on."""
     size = bits // blocks
     out = []
