@@ -88,25 +88,32 @@ def paragraph_vectors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     return _vectors(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")), ["doc_id"])
 
 
-def followers(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) -> one row per distinct (doc_id, text): id, d1, d2, n_chars, copies, next_id, next_d1, next_d2.
+KEY = ["d1", "d2"]
 
-    The order is by doc_id (null first), then by hash of the text; after the last comes the first. Only
-    narrow rows are sorted, by ranges; each range's first row is handed to the range before.
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) with a 128-bit key of both."""
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("d1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("d2"), "text")
+
+
+def followers(keyed: DataFrame) -> DataFrame:
+    """One row per distinct (doc_id, text): doc_id, d1, d2, n_chars, copies, next_d1, next_d2.
+
+    The order is by doc_id (null first), then by key; after the last comes the first. Only narrow rows
+    are sorted, by ranges; each range's first row is handed to the range before.
     """
-    key = ["id", "d1", "d2"]
-    narrow = docs.groupBy(F.col("doc_id").alias("id"), F.xxhash64("text").alias("d1"), F.xxhash64(F.lit(1), "text").alias("d2"), F.char_length("text").cast("long").alias("n_chars")).agg(F.count("*").alias("copies"))
-    spark = docs.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    narrow = cut(narrow.repartitionByRange(ranges, *key).withColumn("range", F.spark_partition_id()))
-    row = F.struct(*key)
+    narrow = keyed.groupBy("doc_id", *KEY, F.char_length("text").cast("long").alias("n_chars")).agg(F.count("*").alias("copies"))
+    order = ["doc_id", *KEY]
+    ranges = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    narrow = cut(narrow.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()))
+    row = F.struct(*order)
     firsts = narrow.groupBy("range").agg(F.min(row).alias("first"))
     # As many rows as ranges, never as documents.
     over = Window.orderBy("range")
     firsts = firsts.select("range", F.coalesce(F.lead("first").over(over), F.min("first").over(over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
-    inside = narrow.withColumn("in_range", F.lead(row).over(Window.partitionBy("range").orderBy(*key)))
+    inside = narrow.withColumn("in_range", F.lead(row).over(Window.partitionBy("range").orderBy(*order)))
     joined = inside.join(F.broadcast(firsts), "range").withColumn("next", F.coalesce("in_range", "after"))
-    return joined.select(*key, "n_chars", "copies", *[F.col(f"next.{k}").alias(f"next_{k}") for k in key])
+    return joined.select(*order, "n_chars", "copies", *[F.col(f"next.{k}").alias(f"next_{k}") for k in KEY])
 
 
 def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -118,29 +125,25 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     repeated and have one follower; of several texts of an id each follows the other. A lone document
     follows itself; no documents: no rows.
     """
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    links = cut(followers(docs))
-    key = ["id", "d1", "d2"]
-    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("d1"), F.xxhash64(F.lit(1), "text").alias("d2"), "text")
+    texts = _keyed(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")))
+    links = cut(followers(texts))
+    texts = texts.select(*KEY, "text")
     if not links.where("copies > 1").isEmpty():
-        texts = texts.dropDuplicates(key)
-
-    def on(left: DataFrame, right: DataFrame, kind: str = "inner") -> Column:
-        return left["id"].eqNullSafe(right["r_id"]) & (left["d1"] == right["r_d1"]) & (left["d2"] == right["r_d2"])
-
-    heads = links.select(*[F.col(f"next_{k}").alias(f"r_{k}") for k in key], *[F.col(k).alias(f"for_{k}") for k in key], F.expr("cast(floor(n_chars / 4) as int)").alias("cut"))
-    heads = texts.join(heads, on(texts, heads)).select(*[F.col(f"for_{k}").alias(f"r_{k}") for k in key], "cut", F.expr("substring(text, 1, cut)").alias("head"))
-    both = texts.join(heads, on(texts, heads)).select(*key, "text", F.expr("concat(substring(text, 1, char_length(text) - cut), head)").alias("edited"))
-    both = both.select(*key, F.explode(F.array(F.struct(F.lit(False).alias("e"), F.col("text").alias("text")), F.struct(F.lit(True).alias("e"), F.col("edited").alias("text")))).alias("s")).select(*key, "s.e", "s.text")
-    digests = both.where("e").select(*key, F.sha2(F.encode("text", "UTF-8"), 256).alias("edited_sha256"))
-    vectors = _vectors(both, [*key, "e"])
-    sides = vectors.groupBy(*key).agg(F.max(F.when(~F.col("e"), F.col("v"))).alias("v"), F.max(F.when(F.col("e"), F.col("v"))).alias("ev"))
-    d = digests.select(F.col("id").alias("r_id"), F.col("d1").alias("r_d1"), F.col("d2").alias("r_d2"), "edited_sha256")
-    sides = cut(sides.join(d, on(sides, d)).select(*key, "v", "ev", "edited_sha256"))
-    ahead = links.select(*[F.col(c).alias(f"r_{c}") for c in key], "n_chars", "copies", *[f"next_{c}" for c in key])
-    rows = sides.join(ahead, on(sides, ahead)).select(F.col("id").alias("doc_id"), "n_chars", "copies", "v", "ev", "edited_sha256", *[F.col(f"next_{c}").alias(c) for c in key])
-    after = sides.select(*[F.col(c).alias(f"r_{c}") for c in key], F.col("v").alias("nv"))
-    rows = rows.join(after, on(rows, after)).select(
-        "doc_id", "n_chars", "edited_sha256", to_hex("v").alias("fingerprint"), to_hex("ev").alias("edited_fingerprint"), likeness(F.col("v"), F.col("ev")).alias("near_edited"), likeness(F.col("v"), F.col("nv")).alias("near_next"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
+        texts = texts.dropDuplicates(KEY)
+    # The beginning of each document goes to the one before it.
+    wanted = links.select(F.col("next_d1").alias("d1"), F.col("next_d2").alias("d2"), F.col("d1").alias("to1"), F.col("d2").alias("to2"), F.expr("cast(floor(n_chars / 4) as int)").alias("cut"))
+    heads = texts.join(wanted, KEY).select(F.col("to1").alias("d1"), F.col("to2").alias("d2"), "cut", F.expr("substring(text, 1, cut)").alias("head"))
+    both = texts.join(heads, KEY).select(*KEY, "text", F.expr("concat(substring(text, 1, char_length(text) - cut), head)").alias("edited"))
+    digests = both.select(*KEY, F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"))
+    sides = both.select(*KEY, F.explode(F.array(F.struct(F.lit(False).alias("e"), F.col("text").alias("text")), F.struct(F.lit(True).alias("e"), F.col("edited").alias("text")))).alias("s"))
+    vectors = _vectors(sides.select(*KEY, "s.e", "s.text"), [*KEY, "e"])
+    sides = vectors.groupBy(*KEY).agg(F.max(F.when(~F.col("e"), F.col("v"))).alias("v"), F.max(F.when(F.col("e"), F.col("v"))).alias("ev"))
+    sides = cut(sides.join(digests, KEY))
+    # So does its vector.
+    back = links.select(F.col("next_d1").alias("d1"), F.col("next_d2").alias("d2"), F.col("d1").alias("to1"), F.col("d2").alias("to2"))
+    after = sides.select(*KEY, F.col("v").alias("next_v")).join(back, KEY).select(F.col("to1").alias("d1"), F.col("to2").alias("d2"), "next_v")
+    rows = sides.join(after, KEY).join(links.select("doc_id", *KEY, "n_chars", "copies"), KEY)
+    rows = rows.select(
+        "doc_id", "n_chars", "edited_sha256", to_hex("v").alias("fingerprint"), to_hex("ev").alias("edited_fingerprint"), likeness(F.col("v"), F.col("ev")).alias("near_edited"), likeness(F.col("v"), F.col("next_v")).alias("near_next"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
     )
     return rows.drop("copy")
