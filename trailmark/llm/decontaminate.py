@@ -200,15 +200,12 @@ def _joined(docs: DataFrame, items: DataFrame, text: str, name: str) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["t1", "t2", "item_id", "n_equal", "start", "n_tokens"])
 
     known = items.mapInArrow(item_seeds, "h long, item_id long, at int, size int, around array<long>")
-    hit = F.shiftrightunsigned("h", 64 - BITS)
+    hit = F.shiftrightunsigned("h", 64 - BITS) + 1
     marks = known.select(hit.alias("b")).distinct().groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect()  # 2**BITS bits at most
-    bits = np.zeros((1 << BITS) + (1 << 15) + 1, bool)
+    bits = np.zeros(1 << BITS, bool)
     for m in marks:
-        own = np.unpackbits(np.frombuffer(bytes(m["bits"]), np.uint8), bitorder="little").astype(bool)
-        lo = (m["k"] - 1) * (1 << 15) + 1  # bucket k holds numbers from 32768 (k - 1) + 1 on
-        bits[lo : lo + len(own)] |= own
-    if any(m["k"] < 1 for m in marks):
-        bits[0] = True
+        lo = (m["k"] - 1) << 15  # a bucket holds 32,768 numbers from 1 on
+        bits[lo : lo + (1 << 15)] = np.unpackbits(np.frombuffer(bytes(m["bits"]), np.uint8), bitorder="little").astype(bool)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
     keys = docs.withColumns({"_t1": F.xxhash64(text), "_t2": F.xxhash64(F.lit(1), text)})
     places = keys.select(F.col("_t1").alias("t1"), F.col("_t2").alias("t2"), F.col(text).alias("text")).where("text is not null").mapInArrow(text_seeds, "h long, t1 long, t2 long, place int, p int, words array<long>")

@@ -8,7 +8,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -64,3 +65,26 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20)
                 at, total = i, 0
             total += int(n)
         yield batch.slice(at)
+
+
+#: Bits of a membership bitmap: 4 MB, whatever the input. Where it fills up, rows take the shuffle they would take without it.
+BITMAP = 25
+
+
+def split(df: DataFrame, key: str, members: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """df in two: rows whose key may be among members' values (all that are, and a few more), and rows whose key surely isn't (nulls too).
+
+    The members' hashes are set in a bitmap of fixed size, which is broadcast, so that only the first
+    part need be shuffled for an exact join.
+    """
+
+    def number(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c.cast("string")), F.lit(1 << BITMAP)) + 1
+
+    marks = members.where(F.col(column).isNotNull()).select(number(F.col(column)).alias("n"))
+    marks = cut(marks.groupBy(F.bitmap_bucket_number("n").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("_bits")))
+    at = F.bitmap_bit_position(number(F.col(key)))
+    flagged = df.withColumns({"_bucket": F.bitmap_bucket_number(number(F.col(key))), "_at": at}).join(F.broadcast(marks), "_bucket", "left")
+    flagged = flagged.withColumn("_maybe", F.coalesce(F.expr("shiftright(cast(conv(hex(substring(_bits, cast(_at div 8 as int) + 1, 1)), 16, 10) as int), cast(_at % 8 as int)) & 1") == 1, F.lit(False)))
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return flagged.where("_maybe").select(*cols), flagged.where("not _maybe").select(*cols)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trailmark.llm.components import components
-from trailmark.llm.runtime import cut, pieces
+from trailmark.llm.runtime import cut, pieces, split
 from trailmark.llm.textops import U, Words, mix, slide
 
 ONES = U(0xFFFFFFFFFFFFFFFF)
@@ -354,14 +354,14 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     shares one with probability 0.997) are compared bit-sliced as 128-bit SimHashes, and what lies
     within radius is checked on the whole sets, unless already linked. A block of over `tile`
     representatives is dealt into tiles by hash, every two of which meet in a task of their own.
-    Texts without words, nulls and rows without id have no copies. Repeats of an id count as copies of it.
+    Texts without words, nulls and rows without id have no copies. An id that repeats has the links of all its texts.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("row_id"), F.col(text).alias("text")).where("row_id is not null and text is not null")
     sets = cut(_sets_of(base, shingle))
     # One class per equal sets.
     classes = sets.groupBy("d1", "d2").agg(F.min("row_id").alias("rep"), F.count("*").alias("n"))
     same = sets.join(classes.where("n > 1"), ["d1", "d2"]).select(F.col("row_id").alias("a"), F.col("rep").alias("b"))
-    reps = sets.join(classes, ["d1", "d2"]).where("row_id = rep").groupBy("row_id").agg(F.first("keys").alias("keys"))
+    reps = sets.join(classes, ["d1", "d2"]).where("row_id = rep").select("row_id", "keys")
     keyed = reps.select("row_id", F.posexplode("keys").alias("band", "key"))
     sizes = keyed.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
     met = keyed.join(sizes, ["band", "key"])
@@ -371,8 +371,8 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     met = met.withColumn("n", n).withColumn("t", t)
     cells = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda o: F.least("t", o) * F.col("n") + F.greatest("t", o))
     met = met.select("row_id", "band", "key", F.explode(cells).alias("tile"))
-    wanted = met.groupBy("row_id").agg(F.collect_list(F.struct("band", "key", "tile")).alias("at"))
-    shown = wanted.join(base, "row_id").dropDuplicates(["row_id"])
+    wanted = cut(met.groupBy("row_id").agg(F.collect_list(F.struct("band", "key", "tile")).alias("at")))
+    shown = wanted.join(split(base, "row_id", wanted, "row_id")[0], "row_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
@@ -388,9 +388,9 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of docs without near copies of a row with a smaller id: one row of each group stays.
 
-    Rows without id or words stay. Of rows that repeat an id and have a copy, one of that id stays if
-    the id is its group's smallest; which of them (first by text) is fixed. Columns stay as they are.
+    Rows without id or words stay. Rows that repeat an id stay or go together. Columns stay as they are.
     """
     found = near_copies(docs, doc_id, text, **options).select(F.col("doc_id").alias("_copy"), F.col("component_id").alias("_of"))
-    gone = found.where("_copy <> _of").select("_copy")
-    return docs.join(gone, docs[doc_id] == gone["_copy"], "left_anti")
+    gone = cut(found.where("_copy <> _of").select("_copy"))
+    maybe, rest = split(docs, doc_id, gone, "_copy")
+    return maybe.join(gone, maybe[doc_id] == gone["_copy"], "left_anti").union(rest)
