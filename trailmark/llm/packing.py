@@ -169,7 +169,7 @@ def tokenize(docs: DataFrame, doc_id: str, text: str, capacity: int, vocabulary:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def place(rows: DataFrame, found: Plan, length: str = "length", per_cell: int = 50_000) -> DataFrame:
+def place(rows: DataFrame, found: Plan, length: str = "length", per_cell: int = 500) -> DataFrame:
     """rows with sequence_id and offset, by a plan for their lengths.
 
     Rows are numbered within their length. For that each length's rows are dealt by hash into cells of
@@ -187,10 +187,9 @@ def place(rows: DataFrame, found: Plan, length: str = "length", per_cell: int =
         sequence += times
     slots.sort()
     table = np.array(slots, np.int64).reshape(-1, 4)
-    most = max(seen.values(), default=1)
-    cells = max(1, -(-most // per_cell))
+    cells = F.array(*[F.lit(-(-seen[s] // per_cell) or 1) for s in range(max(seen, default=0) + 1)])
     cols = [c for c in rows.columns if c not in ("sequence_id", "offset")]
-    rows = rows.select(*cols).withColumn("_cell", F.pmod(F.xxhash64(*[F.col(c) for c in cols if c != length]), F.lit(cells)).cast("int"))
+    rows = rows.select(*cols).withColumn("_cell", F.pmod(F.xxhash64(*[F.col(c) for c in cols if c != length]), F.get(cells, F.col(length).cast("int"))).cast("int"))
     counts = rows.groupBy(length, "_cell").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(length).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(F.col(length).alias("_l"), F.col("_cell").alias("_c"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
