@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailmark.llm.runtime import cut, pieces, remove, scratch
+from trailmark.llm.runtime import cut, pieces, remove, scratch, split
 from trailmark.llm.textops import BASES, U, Words, mix, powers, slide
 
 WINDOW, GRAM = 50, 8
@@ -130,7 +130,7 @@ def repeats(batch: DataFrame, index: FingerprintIndex, past: DataFrame | None, w
     marked = _merge(rows, classes, ["fp", "span"])
     whole = marked.where("who > own_who").select("doc", "span")
     # One document of each span, the earliest, shows its windows.
-    shown = marked.where("mixed and who = own_who and doc = own_doc").groupBy("doc").agg(F.collect_set("span").alias("spans"), F.first("who").alias("who"))
+    shown = cut(marked.where("mixed and who = own_who and doc = own_doc").groupBy("doc").agg(F.collect_set("span").alias("spans"), F.first("who").alias("who")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
@@ -144,12 +144,12 @@ def repeats(batch: DataFrame, index: FingerprintIndex, past: DataFrame | None, w
                 yield pa.RecordBatch.from_arrays([pa.array(s.fp[at].view(np.int64)), pa.array(s.hash[at].view(np.int64)), pa.array(ids, pa.int64()), pa.array(who, pa.int64())], names=["fp", "hash", "doc", "who"])
 
     texts = batch if past is None else batch.union(past)
-    windows = texts.join(shown, "doc").select("doc", "spans", "who", "text").mapInArrow(run, "fp long, hash long, doc long, who long")
+    windows = split(texts, "doc", shown, "doc")[0].join(shown, "doc").select("doc", "spans", "who", "text").mapInArrow(run, "fp long, hash long, doc long, who long")
     windows = cut(windows)
     first = cut(windows.groupBy("fp", "hash").agg(F.min("who").alias("own"), F.max("who").alias("last")).where("own < last").select("fp", "hash", "own"))
     single = _merge(windows, first, ["fp", "hash"]).where("who > own").select("doc", "hash")
     found = whole.select("doc", "span", F.lit(None).cast("long").alias("hash")).union(single.select("doc", F.lit(None).cast("long").alias("span"), "hash"))
-    return found.groupBy("doc").agg(F.collect_set("span").alias("spans"), F.collect_set("hash").alias("windows"))
+    return cut(found.groupBy("doc").agg(F.collect_set("span").alias("spans"), F.collect_set("hash").alias("windows")))
 
 
 def _marked(s: Scan, spans: pa.Array) -> np.ndarray:
@@ -177,9 +177,11 @@ def _hashed(s: Scan, hashes: pa.Array) -> np.ndarray:
 
 def _apply(texts: DataFrame, found: DataFrame, window: int, layout: bool) -> DataFrame:
     """texts with _text replaced, and n_words and n_removed."""
-    joined = texts.join(found, texts["_doc"] == found["doc"], "left").drop("doc")
-    keep = [c for c in joined.columns if c not in ("spans", "windows", "_text", "_doc")]
-    joined = joined.select(*[f"`{c}`" for c in keep], "_text", "spans", "windows")
+    keep = [c for c in texts.columns if c not in ("_text", "_doc")]
+    cols = [*[f"`{c}`" for c in keep], "_text"]
+    maybe, rest = split(texts, "_doc", found, "doc")
+    none = F.lit(None).cast("array<long>")
+    joined = maybe.join(found, maybe["_doc"] == found["doc"], "left").select(*cols, "spans", "windows").union(rest.select(*cols, none.alias("spans"), none.alias("windows")))
     schema = T.StructType([*joined.drop("_text", "spans", "windows").schema.fields, T.StructField("_text", T.StringType()), T.StructField("_words", T.LongType()), T.StructField("_gone", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,17 +23,17 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**k and base**-k modulo 2**64 for k below n at least; kept up to 4 million."""
+    """base**k and base**-k modulo 2**64 for k below n at least; kept up to a million."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, 1 << 16, min(1 << 21, 2 * len(have[0]) if have else 0))
+        size = 1 << max(16, (n - 1).bit_length())
         out = []
         for b in (base, pow(base, -1, 1 << 64)):
             a = np.full(size, b, U)
             a[0] = 1
             out.append(np.multiply.accumulate(a))
         have = tuple(out)
-        if size <= 1 << 22:
+        if size <= 1 << 20:
             _powers[base] = have
     return have
 
