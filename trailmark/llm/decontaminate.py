@@ -207,13 +207,13 @@ def _joined(docs: DataFrame, items: DataFrame, text: str, name: str) -> DataFram
         lo = (m["k"] - 1) << 15  # a bucket holds 32,768 numbers from 1 on
         bits[lo : lo + (1 << 15)] = np.unpackbits(np.frombuffer(bytes(m["bits"]), np.uint8), bitorder="little").astype(bool)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
-    keys = docs.withColumns({"_t1": F.xxhash64(text), "_t2": F.xxhash64(F.lit(1), text)})
-    places = keys.select(F.col("_t1").alias("t1"), F.col("_t2").alias("t2"), F.col(text).alias("text")).where("text is not null").mapInArrow(text_seeds, "h long, t1 long, t2 long, place int, p int, words array<long>")
+    keys = docs.withColumns({"__t1": F.xxhash64(text), "__t2": F.xxhash64(F.lit(1), text)})
+    places = keys.select(F.col("__t1").alias("t1"), F.col("__t2").alias("t2"), F.col(text).alias("text")).where("text is not null").mapInArrow(text_seeds, "h long, t1 long, t2 long, place int, p int, words array<long>")
     met = places.join(known, "h").select("t1", "t2", "place", "p", "words", "item_id", "at", "size", "around")
     found = met.mapInArrow(verify, "t1 long, t2 long, item_id long, n_equal int, start int, n_tokens int")
     best = found.groupBy("t1", "t2", "item_id").agg(F.max(F.struct("n_equal", "start", "n_tokens")).alias("s")).select("t1", "t2", F.struct("item_id", "s.n_equal", "s.start", "s.n_tokens").alias("leak"))
     lists = best.groupBy("t1", "t2").agg(F.array_sort(F.collect_list("leak")).alias(name))
-    out = keys.join(lists, (keys["_t1"] == lists["t1"]) & (keys["_t2"] == lists["t2"]), "left")
+    out = keys.join(lists, (keys["__t1"] == lists["t1"]) & (keys["__t2"] == lists["t2"]), "left")
     return out.select(*[keys[c] for c in docs.columns], F.coalesce(lists[name], F.array().cast(LEAK)).alias(name))
 
 
@@ -225,5 +225,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of docs that leak no item."""
-    rows = with_leaks(docs, benchmark, text, name="_leaks", **options)
-    return rows.where(F.size("_leaks") == 0).drop("_leaks")
+    rows = with_leaks(docs, benchmark, text, name="__leaks", **options)
+    return rows.where(F.size("__leaks") == 0).drop("__leaks")

@@ -146,7 +146,7 @@ def score(docs: DataFrame, model: Embeddings, text: str = "text", threshold: flo
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**bits numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, text, 2 << 20):
+        for b in pieces(batches, text, 1 << 19):
             s = shared.value.scores(b.column(b.schema.get_field_index(text)), bits)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=[*b.schema.names, "score", "predicted"])
 

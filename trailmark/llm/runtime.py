@@ -82,9 +82,9 @@ def split(df: DataFrame, key: str, members: DataFrame, column: str) -> tuple[Dat
         return F.pmod(F.xxhash64(c.cast("string")), F.lit(1 << BITMAP)) + 1
 
     marks = members.where(F.col(column).isNotNull()).select(number(F.col(column)).alias("n"))
-    marks = cut(marks.groupBy(F.bitmap_bucket_number("n").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("_bits")))
+    marks = cut(marks.groupBy(F.bitmap_bucket_number("n").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("__bits")))
     at = F.bitmap_bit_position(number(F.col(key)))
-    flagged = df.withColumns({"_bucket": F.bitmap_bucket_number(number(F.col(key))), "_at": at}).join(F.broadcast(marks), "_bucket", "left")
-    flagged = flagged.withColumn("_maybe", F.coalesce(F.expr("shiftright(cast(conv(hex(substring(_bits, cast(_at div 8 as int) + 1, 1)), 16, 10) as int), cast(_at % 8 as int)) & 1") == 1, F.lit(False)))
+    flagged = df.withColumns({"__bucket": F.bitmap_bucket_number(number(F.col(key))), "__at": at}).join(F.broadcast(marks), "__bucket", "left")
+    flagged = flagged.withColumn("__maybe", F.coalesce(F.expr("shiftright(cast(conv(hex(substring(__bits, cast(__at div 8 as int) + 1, 1)), 16, 10) as int), cast(__at % 8 as int)) & 1") == 1, F.lit(False)))
     cols = [F.col(f"`{c}`") for c in df.columns]
-    return flagged.where("_maybe").select(*cols), flagged.where("not _maybe").select(*cols)
+    return flagged.where("__maybe").select(*cols), flagged.where("not __maybe").select(*cols)

@@ -390,7 +390,7 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **op
 
     Rows without id or words stay. Rows that repeat an id stay or go together. Columns stay as they are.
     """
-    found = near_copies(docs, doc_id, text, **options).select(F.col("doc_id").alias("_copy"), F.col("component_id").alias("_of"))
-    gone = cut(found.where("_copy <> _of").select("_copy"))
-    maybe, rest = split(docs, doc_id, gone, "_copy")
-    return maybe.join(gone, maybe[doc_id] == gone["_copy"], "left_anti").union(rest)
+    found = near_copies(docs, doc_id, text, **options).select(F.col("doc_id").alias("__copy"), F.col("component_id").alias("__of"))
+    gone = cut(found.where("__copy <> __of").select("__copy"))
+    maybe, rest = split(docs, doc_id, gone, "__copy")
+    return maybe.join(gone, maybe[doc_id] == gone["__copy"], "left_anti").union(rest)

@@ -80,17 +80,23 @@ class FingerprintIndex:
         return out
 
     def append(self, rows: DataFrame) -> DataFrame:
-        """Write a run, compacting first when there are enough; the new run's rows."""
-        if len(self.runs) >= self.fanout:
-            self.compact()
+        """Write a run; its rows."""
         self.runs.append(self._write(rows))
-        return self.spark.read.parquet(self.runs[-1])
+        return self._read(self.runs[-1])
+
+    def _read(self, *paths: str) -> DataFrame:
+        return self.spark.read.schema("fp long, span long, doc long").parquet(*paths)
 
     def history(self) -> DataFrame | None:
-        return self.spark.read.parquet(*self.runs) if self.runs else None
+        return self._read(*self.runs) if self.runs else None
+
+    def settle(self) -> None:
+        """Compact if there are enough runs. Tables read from the index before must not be read after."""
+        if len(self.runs) >= self.fanout:
+            self.compact()
 
     def compact(self) -> None:
-        """Merge all runs into one, then delete them: a reader that began before keeps to none of them."""
+        """Merge all runs into one, then delete them."""
         old = self.runs
         self.runs = [self._write(self.history().distinct())]
         for p in old:
@@ -116,6 +122,7 @@ def repeats(batch: DataFrame, index: FingerprintIndex, past: DataFrame | None, w
     index holds, and a smaller id within the batch, whose ids must be new. Its run is appended to the index.
     spans: segments that are repeats as wholes; windows: hashes of other windows that are.
     """
+    index.settle()
     old = index.history() if past is not None else None
     new = index.append(segments(batch, window)).withColumn("who", F.col("doc"))
     rows = new
@@ -176,23 +183,21 @@ def _hashed(s: Scan, hashes: pa.Array) -> np.ndarray:
 
 
 def _apply(texts: DataFrame, found: DataFrame, window: int, layout: bool) -> DataFrame:
-    """texts with _text replaced, and n_words and n_removed."""
-    keep = [c for c in texts.columns if c not in ("_text", "_doc")]
-    cols = [*[f"`{c}`" for c in keep], "_text"]
-    maybe, rest = split(texts, "_doc", found, "doc")
+    """texts (__row, __doc, __text) as __row, __text without what was found, __words, __gone."""
+    found = found.select(F.col("doc").alias("__id"), "spans", "windows")
+    maybe, rest = split(texts, "__doc", found, "__id")
     none = F.lit(None).cast("array<long>")
-    joined = maybe.join(found, maybe["_doc"] == found["doc"], "left").select(*cols, "spans", "windows").union(rest.select(*cols, none.alias("spans"), none.alias("windows")))
-    schema = T.StructType([*joined.drop("_text", "spans", "windows").schema.fields, T.StructField("_text", T.StringType()), T.StructField("_words", T.LongType()), T.StructField("_gone", T.LongType())])
+    joined = maybe.join(found, F.col("__doc") == F.col("__id"), "left").select("__row", "__text", "spans", "windows").union(rest.select("__row", "__text", none.alias("spans"), none.alias("windows")))
+    schema = T.StructType([joined.schema["__row"], T.StructField("__text", T.StringType()), T.StructField("__words", T.LongType()), T.StructField("__gone", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, "_text"):
-            n = len(keep)
-            col = b.column(n)
+        for b in pieces(batches, "__text"):
+            col = b.column(1)
             s = Scan(col, window)
             w = s.words
             covered = np.zeros(len(w) + 1, np.int64)
             if len(s.first):
-                at = s.start[_marked(s, b.column(n + 1))[s.segment] | _hashed(s, b.column(n + 2))]
+                at = s.start[_marked(s, b.column(2))[s.segment] | _hashed(s, b.column(3))]
                 covered[at] += 1
                 covered[at + window] -= 1
             gone = np.cumsum(covered[:-1]) > 0
@@ -202,12 +207,12 @@ def _apply(texts: DataFrame, found: DataFrame, window: int, layout: bool) -> Dat
             starts, ends = w.starts.tolist(), w.ends.tolist()
             texts = col.to_pylist()
             for i in range(b.num_rows) if not layout else np.flatnonzero(lost).tolist():
-                own = np.flatnonzero(~gone[w.first[i] : w.first[i + 1]]) + w.first[i]
+                lo, hi = int(w.first[i]), int(w.first[i + 1])
                 if layout:
-                    texts[i] = _cut_out(data, int(w.bounds[i]), int(w.bounds[i + 1]), gone[w.first[i] : w.first[i + 1]], starts[w.first[i] : w.first[i + 1]], ends[w.first[i] : w.first[i + 1]])
+                    texts[i] = _cut_out(data, int(w.bounds[i]), int(w.bounds[i + 1]), gone[lo:hi], starts[lo:hi], ends[lo:hi])
                 else:
-                    texts[i] = b" ".join([data[starts[j] : ends[j]] for j in own.tolist()]).decode()
-            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(texts, pa.string()), pa.array(w.counts.astype(np.int64)), pa.array(lost)], names=[*keep, "_text", "_words", "_gone"])
+                    texts[i] = b" ".join([data[starts[j] : ends[j]] for j in (np.flatnonzero(~gone[lo:hi]) + lo).tolist()]).decode()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(w.counts.astype(np.int64)), pa.array(lost)], names=["__row", "__text", "__words", "__gone"])
 
     return joined.mapInArrow(run, schema)
 
@@ -257,12 +262,12 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             inside |= key.isNull()
         part = docs.where(inside)
         found = repeats(part.select(key.alias("doc"), F.col(text).alias("text")), own, past, window)
-        done = _apply(part.select(*rest, key.alias("_doc"), F.col(text).alias("_text")), found, window, layout)
+        done = _apply(part.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__row"), key.alias("__doc"), F.col(text).alias("__text")), found, window, layout)
         out = done if out is None else out.union(done)
         low = high
         if high is not None:
             past = docs.where(key <= high).select(key.alias("doc"), F.col(text).alias("text"))
     if index is None:
         own.drop()
-    cols = [F.col("_text").alias(c) if c == text else F.col(c) for c in docs.columns if c not in ("n_words", "n_removed")]
-    return out.select(*cols, F.col("_words").alias("n_words"), F.col("_gone").alias("n_removed"))
+    cols = [(F.col("__text") if c == text else F.col(f"__row.`{c}`")).alias(c) for c in docs.columns if c not in ("n_words", "n_removed")]
+    return out.select(*cols, F.col("__words").alias("n_words"), F.col("__gone").alias("n_removed"))
