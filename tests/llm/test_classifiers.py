@@ -66,7 +66,7 @@ def test_pairs_learn_what_single_terms_cannot():
         y.append(int(insult == group))
     ids, bounds = toxicity.terms(pa.array(texts))
     lists = [ids[bounds[k] : bounds[k + 1]] for k in range(len(texts))]
-    m = toxicity.train(lists[:1000], np.array(y[:1000]), least=0.0, epochs=40, gain=1.0)
+    m = toxicity.train(lists[:1000], np.array(y[:1000]), least=0.0, epochs=40)
     first = np.concatenate([[0], np.cumsum([len(x) for x in lists[1000:]])])
     z = m.logits(np.concatenate(lists[1000:]), first)
     assert auc(z, np.array(y[1000:])) > 0.9

@@ -24,8 +24,6 @@ from trailmark.llm.runtime import pieces
 from trailmark.llm.textops import BASES, U, Words, mix, powers
 
 BITS, FACTORS, SAMPLE, LEAST, EPOCHS = 18, 6, 20_000, 3.0, 12
-#: Weight of a toxic row against a clean one.
-GAIN = 4.0
 
 
 def terms(col: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -72,7 +70,7 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.logits(*terms(col, bits)), -30, 30)))
 
 
-def train(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors: int = FACTORS, least: float = LEAST, epochs: int = EPOCHS, rate: float = 0.2, decay: float = 1e-4, gain: float = GAIN, seed: int = 7) -> Machine:
+def train(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors: int = FACTORS, least: float = LEAST, epochs: int = EPOCHS, rate: float = 0.2, decay: float = 1e-4, seed: int = 7) -> Machine:
     """A machine from distinct terms by text, and 0/1 labels, by AdaGrad on the logistic loss. No rows: score 0.5; one label only: near it."""
     n = len(lists)
     y = np.asarray(labels, float)
@@ -93,7 +91,6 @@ def train(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors
     b = float(np.log(p / (1 - p)))
     gw, gv, gb = np.full(len(w), 1e-6), np.full(v.shape, 1e-6), 1e-6
     rows = [slot[x][slot[x] > 0] for x in lists]
-    weight = np.where(y > 0, gain, 1.0)
     for _ in range(epochs):
         order = rng.permutation(n)
         for lo in range(0, n, 64):
@@ -106,7 +103,7 @@ def train(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors
             q = np.zeros(len(batch))
             np.add.at(q, doc, (x * x).sum(1))
             z = b + np.bincount(doc, w[row], len(batch)) + 0.5 * ((s * s).sum(1) - q)
-            g = weight[batch] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[batch]) / len(batch)
+            g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[batch]) / len(batch)
             gb += g.sum() ** 2
             b -= rate * g.sum() / np.sqrt(gb)
             u, inv = np.unique(row, return_inverse=True)
