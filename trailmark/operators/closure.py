@@ -13,12 +13,16 @@ ROUNDS = 100_000
 
 
 def _jumps(single: DataFrame) -> list[DataFrame]:
-    """Tables (src, dst) of 1, 2, 4, ... steps along nodes with one way on; as many rows as such nodes at most."""
+    """Tables (src, dst) of 1, 2, 4, ... steps along nodes with one way on; as many rows as such nodes at most.
+
+    No way without a repeat is longer than there are such nodes, so cycles end the doubling too.
+    """
     out = [cut(single)]
-    while not out[-1].isEmpty() and len(out) < 60:
+    most = out[0].count().bit_length()
+    while not out[-1].isEmpty() and len(out) <= most:
         a, b = out[-1].alias("a"), out[-1].alias("b")
         out.append(cut(a.join(b, F.col("a.dst") == F.col("b.src")).select(F.col("a.src").alias("src"), F.col("b.dst").alias("dst"))))
-    return out[:-1]
+    return [j for j in out if not j.isEmpty()]
 
 
 def closure(starts: DataFrame, edges: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
