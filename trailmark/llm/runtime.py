@@ -1,9 +1,7 @@
-"""What the operators share at run time: where lineage is cut, and how Arrow batches are cut."""
+"""What the operators share at run time: cutting lineage, batches and tables."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,31 +9,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trailmark.operators.lineage import cut, scratch
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor sees, from spark.checkpoint.dir; one of our own only where it is unset."""
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    own = getattr(sc, "_trailmark_dir", None)
-    if own is None:
-        own = sc._trailmark_dir = tempfile.mkdtemp(prefix="trailmark-")
-    return own
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared folder, so that lost executors don't rerun what came before."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/trailmark-{name}-{uuid.uuid4().hex}"
+__all__ = ["cut", "pieces", "remove", "scratch", "split"]
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -45,12 +21,6 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most so many bytes of a string column, or one row."""
     for batch in batches:
