@@ -53,6 +53,7 @@ def test_template_tells_fixed_text_from_slots(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as host", "2 as slots", "3 as text")
     got = extract(df).collect()
     assert len(got) == len(rows)
+    assert sorted(map(repr, extract(df, broadcast=0).collect())) == sorted(map(repr, got))
     by = {r["page_id"]: r["text"] for r in got}
     for k in range(8):
         assert by[k] == " ".join(f"story{k} sentence {j}." for j in range(12))

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from trailmark.llm.runtime import cut, pieces
 
 SUPPORT, SHARE = 3, 0.7
+#: Templates of up to so many slots and texts in all (8 bytes each, and a host's name) are broadcast; more are joined, and the pages shuffled by host.
+BROADCAST = 2_000_000
 
 # Element names of the HTML standard, and words of classes and ids.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -254,7 +256,7 @@ def templates(pages: DataFrame) -> DataFrame:
     return slots.join(fixed, "host", "full_outer").select("host", F.coalesce("slots", F.array().cast("array<long>")).alias("slots"), F.coalesce("fixed", F.array().cast("array<long>")).alias("fixed"))
 
 
-def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
+def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html", broadcast: int = BROADCAST) -> DataFrame:
     """pages' page_id and url with text, the main text, and n_chars, its code points; a row per row.
 
     Null html: empty. Rows without url are taken as pages of one unnamed host. Repeated rows and pages of one id
@@ -263,7 +265,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
     """
     base = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host_of(url).alias("host"), F.col(source).alias("html"))
     known = cut(templates(base.select(F.xxhash64("page_id", "url").alias("page"), "host", "html")))
-    joined = base.join(known, "host", "left").select("page_id", "url", "slots", "fixed", "html")
+    held = known.agg(F.sum(F.size("slots") + F.size("fixed") + F.length("host") + 16)).first()[0] or 0
+    joined = base.join(F.broadcast(known) if held <= broadcast else known, "host", "left").select("page_id", "url", "slots", "fixed", "html")
     kind = dict(base.dtypes)["page_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
