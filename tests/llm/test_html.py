@@ -26,6 +26,10 @@ def text(source):
         ("<title>no</title><p>&am &amp &nbsp;x", "&am & x"),
         ("<article>one</article><article class=comment>two</article>", "one"),
         ("<p>" * 3000 + "deep", "deep"),
+        ("<div class='page sidebar-right'><article><p>kept</p></article></div><div class=sidebar>side</div>", "kept"),
+        ("<div class='main has-sidebar'><p>kept</p><div class=sidebar>side</div></div>", "kept"),
+        ("<div id=comments><article><p>reader</p></article></div><p>story</p>", "story"),
+        ("<nav><article>teaser</article></nav><div class=widget><div class=ad><article>bought</article></div></div><p>story</p>", "story"),
         ("<script>never closed <p>x", ""),
     ],
 )

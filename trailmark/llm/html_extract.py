@@ -38,6 +38,9 @@ WORDS = frozenset(
     disqus discussion footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination paywall popup promo promos promoted
     promotion recommended related replies reply respond search share sharing sidebar signup social sponsor sponsored sponsors subscribe subscription teaser toolbar topbar widget widgets""".split()
 )
+#: Words that often only tell how a page is laid out: they don't take off an element that one of LAYS_OUT names too, nor an article inside.
+LAYOUT = frozenset("banner breadcrumb breadcrumbs footer header menu nav navbar navigation share sharing sidebar social toolbar topbar widget widgets".split())
+LAYS_OUT = frozenset("article has layout main no story with without".split())
 CLOSES = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"]), "p": frozenset(["p"])
 }
@@ -51,10 +54,10 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Element:
-    __slots__ = ("name", "path", "off", "link", "article", "depth")
+    __slots__ = ("name", "path", "off", "soft", "link", "article", "depth")
 
-    def __init__(self, name: str, path: int, off: bool, link: bool, article: bool, depth: int):
-        self.name, self.path, self.off, self.link, self.article, self.depth = name, path, off, link, article, depth
+    def __init__(self, name: str, path: int, off: bool, soft: bool, link: bool, article: bool, depth: int):
+        self.name, self.path, self.off, self.soft, self.link, self.article, self.depth = name, path, off, soft, link, article, depth
 
 
 class Page:
@@ -64,7 +67,7 @@ class Page:
         self.blocks: list[tuple[str, bool, int, list[Element]]] = []
         self.paths: Counter = Counter()
         self.facts: dict[int, tuple[bool, bool, int]] = {}  # path -> off, article, depth
-        self.stack: list[Element] = [Element("", 0, False, False, False, 0)]
+        self.stack: list[Element] = [Element("", 0, False, False, False, False, 0)]
         self.parts: list[str] = []
         self.linked = 0
         self._read(source)
@@ -173,15 +176,17 @@ class Page:
         named = set(words)
         inside = any(e.article for e in self.stack)
         article = name in ("article", "main") or found.get("role") in ("main", "article") or found.get("itemprop") == "articleBody"
-        if name in ("html", "body"):
-            off = False
-        elif article:
-            off = name == "article" and bool(named & {"comment", "comments", "reply", "replies", "related", "teaser", "promo", "ad", "sponsored"})
-        else:
-            off = name in FURNITURE or found.get("role") in ROLES or bool(named & (WORDS - {"header"} if inside else WORDS)) or (name == "header" and not inside)
-        off = above.off or off or "hidden" in found or "display:none" in found.get("style", "").replace(" ", "")
+        hard, soft = "hidden" in found or "display:none" in found.get("style", "").replace(" ", ""), False
+        if article:
+            hard = hard or name == "article" and bool(named & {"comment", "comments", "reply", "replies", "related", "teaser", "promo", "ad", "sponsored"})
+        elif name not in ("html", "body"):
+            hard = hard or name in FURNITURE or found.get("role") in ROLES or bool(named & (WORDS - LAYOUT)) or (name == "header" and not inside)
+            soft = bool(named & (LAYOUT - {"header"} if inside else LAYOUT)) and not named & LAYS_OUT
+        off = hard or soft or (above.off and not (article and above.soft))
+        # Off by layout words alone.
+        soft = off and not hard and (above.soft or not above.off)
         path = xxhash.xxh64_intdigest(f"{above.path} {name} {' '.join(sorted(named))}") >> 1
-        e = Element(name, path, off, above.link or name == "a", article and not off, above.depth + 1)
+        e = Element(name, path, off, soft, above.link or name == "a", article and not off, above.depth + 1)
         if off != above.off:
             self._end_block()
         self.stack.append(e)
