@@ -77,10 +77,10 @@ def train(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors
     slot = np.zeros(1 << bits, np.int32)
     if not n:
         return Machine(slot, 0.0, np.zeros(1), np.zeros((1, factors)))
-    ids = np.concatenate([*lists, np.zeros(0, np.int64)]).astype(np.int64)
-    first = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-    ones = np.repeat(y, np.diff(first))
-    seen, hits = np.bincount(ids, minlength=1 << bits), np.bincount(ids, ones, 1 << bits)
+    seen, hits = np.zeros(1 << bits), np.zeros(1 << bits)
+    for x, label in zip(lists, y):  # terms are distinct within a text
+        seen[x] += 1
+        hits[x] += label
     p = (y.sum() + 0.5) / (n + 1)
     z = (hits - seen * p) / np.sqrt(seen * p * (1 - p) + 1)
     kept = np.flatnonzero((seen >= 3) & (np.abs(z) >= least))
