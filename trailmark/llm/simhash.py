@@ -76,10 +76,16 @@ class Planes:
         return found[found >= since]
 
 
-def forest(prints: np.ndarray, radius: int, agrees=None) -> list[tuple[int, int]]:
-    """A spanning forest of the links within one block, as pairs of positions; agrees(i, j) may refuse a link."""
+def forest(prints: np.ndarray, radius: int, agrees=None, groups: list | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the links within one block, as pairs of positions; agrees(i, j) may refuse a link.
+
+    Positions of one group (of groups, a label each) count as linked already.
+    """
     planes = Planes(prints)
     root = list(range(len(prints)))
+    if groups is not None:
+        first: dict = {}
+        root = [first.setdefault(g, i) for i, g in enumerate(groups)]
 
     def top(i: int) -> int:
         while root[i] != i:
@@ -307,23 +313,38 @@ def _wide(sets: list[np.ndarray]) -> np.ndarray:
     return np.stack([_majority(mix(val ^ U(lane)), first) for lane in (0x1B873593, 0xE6546B64)], 1)
 
 
-def _tile_edges(members: DataFrame, similarity: float, radius: int) -> DataFrame:
-    """members (band, key, tile, side, row_id, set binary), sorted: spanning edges of the links in each tile."""
+def _cell_edges(cells: DataFrame, base: DataFrame, shingle: int, similarity: float, radius: int) -> DataFrame:
+    """cells (row_id, group_id, band, key, cell): spanning edges (a, b) of the links within each cell, checked on the whole sets of base's texts.
+
+    Rows of a cell with one group_id count as linked already.
+    """
+    wanted = cut(cells.groupBy("row_id", "group_id").agg(F.collect_list(F.struct("band", "key", "cell")).alias("at")))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, "text"):
+            val, bounds = shingle_sets(b.column(3), shingle)
+            own = pa.array([val[lo:hi].astype("<u8").tobytes() for lo, hi in zip(bounds[:-1], bounds[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], own], names=["row_id", "group_id", "at", "set"])
+
+    shown = wanted.join(split(base, "row_id", wanted, "row_id")[0], "row_id").select("row_id", "group_id", "at", "text")
+    held = shown.mapInArrow(sets, "row_id long, group_id long, at array<struct<band:int,key:long,cell:long>>, set binary")
+    keys = ["band", "key", "cell"]
+    rows = held.select("row_id", "group_id", "set", F.explode("at").alias("k")).select("k.band", "k.key", "k.cell", "row_id", "group_id", "set")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, ids, sets = None, [], []
+        now, ids, groups, sets = None, [], [], []
         for b in batches:
-            cols = [b.column(i).to_pylist() for i in range(5)]
-            for band, key, tile, row_id, own in zip(*cols):
-                if (band, key, tile) != now:
-                    yield from found(ids, sets)
-                    now, ids, sets = (band, key, tile), [], []
+            for band, key, cell, row_id, group, own in zip(*(c.to_pylist() for c in b.columns)):
+                if (band, key, cell) != now:
+                    yield from found(ids, groups, sets)
+                    now, ids, groups, sets = (band, key, cell), [], [], []
                 ids.append(row_id)
+                groups.append(group)
                 sets.append(np.frombuffer(own, "<u8"))
-        yield from found(ids, sets)
+        yield from found(ids, groups, sets)
 
-    def found(ids: list, sets: list) -> Iterator[pa.RecordBatch]:
-        if len(ids) < 2:
+    def found(ids: list, groups: list, sets: list) -> Iterator[pa.RecordBatch]:
+        if len(set(groups)) < 2:
             return
 
         def agrees(i: int, j: int) -> bool:
@@ -333,16 +354,15 @@ def _tile_edges(members: DataFrame, similarity: float, radius: int) -> DataFrame
             both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
             return both >= similarity * (a + b - both)
 
-        e = forest(_wide(sets), radius, agrees)
+        e = forest(_wide(sets), radius, agrees, groups)
         if e:
             yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in e], pa.int64()), pa.array([ids[j] for _, j in e], pa.int64())], names=["a", "b"])
 
-    keys = ["band", "key", "tile"]
-    return members.select(*keys, "row_id", "set").repartition(*keys).sortWithinPartitions(*keys, "row_id").mapInArrow(run, "a long, b long")
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "row_id").mapInArrow(run, "a long, b long")
 
 
-#: A block's members are dealt into tiles of about so many; each two tiles meet in one task.
-TILE = 1500
+#: A block of more members is dealt into tiles of about so many, and each tile first meets so many leaders.
+TILE, LEADERS = 1500, 8
 
 
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
@@ -353,7 +373,9 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     Representatives that share one of eight block keys (three minima each; a pair of similarity 0.8
     shares one with probability 0.997) are compared bit-sliced as 128-bit SimHashes, and what lies
     within radius is checked on the whole sets, unless already linked. A block of over `tile`
-    representatives is dealt into tiles by hash, every two of which meet in a task of their own.
+    representatives is dealt into tiles by hash. Each tile first meets the block's leaders; the members that are then
+    one component needn't meet each other again, and only the others, in tiles too, meet everyone. No pair
+    that could tie two components is left out, and a large group of copies costs what its members do, not their pairs.
     Texts without words, nulls and rows without id have no copies. An id that repeats has the links of all its texts.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("row_id"), F.col(text).alias("text")).where("row_id is not null and text is not null")
@@ -364,25 +386,34 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     reps = sets.join(classes, ["d1", "d2"]).where("row_id = rep").select("row_id", "keys")
     keyed = reps.select("row_id", F.posexplode("keys").alias("band", "key"))
     sizes = keyed.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
-    met = keyed.join(sizes, ["band", "key"])
-    # A member of tile t of n meets tiles t..n-1 and 0..t-1: cell (i, j), i <= j, holds tiles i and j.
-    n = F.ceil(F.col("size") / F.lit(tile)).cast("int")
-    t = F.pmod(F.xxhash64("row_id"), F.col("n")).cast("int")
-    met = met.withColumn("n", n).withColumn("t", t)
-    cells = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda o: F.least("t", o) * F.col("n") + F.greatest("t", o))
-    met = met.select("row_id", "band", "key", F.explode(cells).alias("tile"))
-    wanted = cut(met.groupBy("row_id").agg(F.collect_list(F.struct("band", "key", "tile")).alias("at")))
-    shown = wanted.join(split(base, "row_id", wanted, "row_id")[0], "row_id")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, "text"):
-            val, bounds = shingle_sets(b.column(2), shingle)
-            own = pa.array([val[lo:hi].astype("<u8").tobytes() for lo, hi in zip(bounds[:-1], bounds[1:])], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), own], names=["row_id", "at", "set"])
-
-    held = shown.select("row_id", "at", "text").mapInArrow(run, "row_id long, at array<struct<band:int,key:long,tile:int>>, set binary")
-    members = held.select("row_id", "set", F.explode("at").alias("k")).select("row_id", "set", "k.band", "k.key", "k.tile")
-    return components(_tile_edges(members, similarity, radius).union(same)).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
+    met = cut(keyed.join(sizes, ["band", "key"]))
+    block, cells = ["band", "key"], ["row_id", "group_id", "band", "key", "cell"]
+    small = met.where(F.col("size") <= tile).select("row_id", F.col("row_id").alias("group_id"), *block, F.lit(0).cast("long").alias("cell"))
+    hot = met.where(F.col("size") > tile)
+    if hot.isEmpty():
+        return _named(components(_cell_edges(small, base, shingle, similarity, radius).union(same)))
+    # Tile t of a hot block meets the leaders in cell t.
+    dealt = F.xxhash64("row_id")
+    tiles = F.ceil(F.col("size") / F.lit(tile)).cast("long")
+    leaders = hot.groupBy(*block, "size", F.pmod(dealt, F.lit(LEADERS)).alias("nth")).agg(F.min("row_id").alias("row_id"))
+    stars = hot.select("row_id", *block, F.pmod(dealt, tiles).alias("cell")).union(leaders.select("row_id", *block, F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)).alias("cell"))).distinct()
+    edges = cut(_cell_edges(small.union(stars.select("row_id", F.col("row_id").alias("group_id"), *block, "cell")), base, shingle, similarity, radius).union(same))
+    # The members outside the block's largest component meet all of it, and each other: cell (i, j) has tile i of them and tile j of all.
+    roots = components(edges).select(F.col("node").alias("row_id"), F.col("root").alias("group_id")).distinct()
+    known = cut(hot.join(roots, "row_id", "left").select("row_id", F.coalesce("group_id", "row_id").alias("group_id"), *block, "size"))
+    most = known.groupBy(*block, "group_id").agg(F.count("*").alias("n")).groupBy(*block).agg(F.max_by("group_id", F.struct("n", "group_id")).alias("main"), (F.sum("n") - F.max("n")).alias("others"))
+    most = cut(most.where("others > 0"))
+    rest = known.join(most, block)
+    many = F.ceil(F.col("others") / F.lit(tile)).cast("long")
+    j, i = F.pmod(dealt, tiles), F.pmod(dealt, many)
+    as_all = rest.select(*[F.col(c) for c in cells[:-1]], F.explode(F.transform(F.sequence(F.lit(0).cast("long"), many - 1), lambda x: x * tiles + j)).alias("cell"))
+    as_other = rest.where("group_id <> main").select(*[F.col(c) for c in cells[:-1]], F.explode(F.transform(F.sequence(F.lit(0).cast("long"), tiles - 1), lambda x: i * tiles + x)).alias("cell"))
+    again = _cell_edges(as_all.union(as_other).distinct(), base, shingle, similarity, radius)
+    return _named(components(edges.union(again)))
+
+
+def _named(found: DataFrame) -> DataFrame:
+    return found.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
