@@ -69,3 +69,12 @@ def test_pages_of_a_host_that_are_copies_keep_their_article(spark):
     page = "<body><nav>m</nav><article><p>the same story</p></article></body>"
     df = spark.createDataFrame([(k, "http://h.example/", page) for k in range(6)], "page_id long, url string, html string")
     assert {r["text"] for r in extract(df).collect()} == {"the same story"}
+
+
+def test_fixed_text_inside_articles_goes(spark):
+    """What stands in every article of the host is no article's own, whatever its class; an article of fixed texts only stays."""
+    rows = [(k, f"http://h.example/{k}", f"<body><article class=a><p>story {k} begins</p><p class=x>Share this story</p><p>and {k} ends</p></article></body>") for k in range(5)]
+    rows += [(9, "http://h.example/9", "<body><article class=a><p class=x>Share this story</p></article></body>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extract(df).collect()}
+    assert got == {k: f"story {k} begins and {k} ends" for k in range(5)} | {9: "Share this story"}

@@ -195,17 +195,20 @@ class Page:
             self.facts.setdefault(path, (off, e.article, e.depth))
 
     def text(self, slots: list[int], fixed: frozenset[int]) -> str:
-        """The article: what stands below an article element, or else below the first of slots that the page has, without the fixed texts there."""
+        """The article: what stands below article elements, or else below the first of slots that the page has, without the fixed texts there.
+
+        Where article elements hold fixed texts only, these stay.
+        """
         on = [b for b in self.blocks if not b[1]]
         marked = [b for b in on if any(e.article for e in b[3])]
+        left = [b for b in marked or on if token(b[0], b[3][-1].path) not in fixed]
         if marked:
-            return " ".join(b[0] for b in marked)
-        on = [b for b in on if token(b[0], b[3][-1].path) not in fixed]
+            return " ".join(b[0] for b in left or marked)
         for slot in slots:
-            inside = [b for b in on if any(e.path == slot for e in b[3])]
+            inside = [b for b in left if any(e.path == slot for e in b[3])]
             if inside:
                 return " ".join(b[0] for b in inside)
-        return " ".join(b[0] for b in on)
+        return " ".join(b[0] for b in left)
 
 
 def token(text: str, path: int) -> int:
