@@ -78,3 +78,15 @@ def test_fixed_text_inside_articles_goes(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in extract(df).collect()}
     assert got == {k: f"story {k} begins and {k} ends" for k in range(5)} | {9: "Share this story"}
+
+
+def test_copies_without_article_markup_keep_their_text(spark):
+    """Copies tell nothing about a template, be they rows, pages or pages that differ in tags and scripts only."""
+    page = "<body><div id=p{0}><script>n={1}</script><p>The whole story {0}</p><p>and its end {0}</p></div></body>"
+    rows = [(k, f"http://copies.example/{k}", page.format(0, 0)) for k in range(4)] + [(10, "http://rows.example/", page.format(1, 1))] * 3
+    rows += [(20 + k, f"http://nonce.example/{k}", page.format(2, k)) for k in range(4)]
+    rows += [(30 + k, f"http://mixed.example/{k}", page.format(max(3, k), 3)) for k in range(8)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = [(r["page_id"], r["text"]) for r in extract(df).collect()]
+    want = [0] * 4 + [1] * 3 + [2] * 4 + [max(3, k) for k in range(8)]
+    assert sorted(got) == sorted((r[0], f"The whole story {n} and its end {n}") for r, n in zip(rows, want))

@@ -3,8 +3,8 @@
 A page's tokens are the paths of its elements (names and classes from the root down) and its whole
 texts with their paths. Tokens that occur equally often on the same pages of a host share an occurrence
 vector and form an equivalence class; the vectors are compared by a sum of hashes of (page, count), which
-is aggregated before any shuffle. A class with an element path in it, on SUPPORT pages or more, belongs to
-the host's template: its texts are fixed text, its paths are the skeleton, nested as paths are, and what varies
+is aggregated before any shuffle. Copies of a page count as one page. A class with an element path in it, on SUPPORT pages or more,
+belongs to the host's template: its texts are fixed text, its paths are the skeleton, nested as paths are, and what varies
 below a path is that path's slot. The slot that holds the article is the deepest skeleton path that marks an
 article or, failing that, holds most of the varying text that isn't in links or in page furniture.
 """
@@ -21,11 +21,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.runtime import cut, pieces
+from trailmark.llm.runtime import cut, pieces, split
 
 SUPPORT, SHARE = 3, 0.7
 #: Templates of up to so many slots and texts in all (8 bytes each, and a host's name) are broadcast; more are joined, and the pages shuffled by host.
 BROADCAST = 2_000_000
+#: What of a page's source isn't read: scripts, styles, comments and tags.
+UNREAD = r"(?is)<(script|style)\b.*?(?:</\1|\z)|<!--.*?(?:-->|\z)|<[^>]*>?"
 
 # Element names of the HTML standard, and words of classes and ids.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -220,6 +222,18 @@ def host_of(url: str) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
+def distinct(pages: DataFrame) -> DataFrame:
+    """pages (host, html) -> (page, host, html): of the pages of a host that read the same, one; page is a hash of what it reads.
+
+    Tags, scripts, styles and white space don't count. Only pages that have copies are shuffled with their html, after one of a kind is left in each task.
+    """
+    said = F.regexp_replace(F.regexp_replace("html", UNREAD, " "), r"\s+", " ")
+    keyed = pages.where("html is not null").select("host", "html", F.xxhash64("host", said).alias("page"))
+    copied = cut(keyed.groupBy("page").agg(F.count("*").alias("n")).where("n > 1"))
+    some, alone = split(keyed, "page", copied, "page")
+    return alone.select("page", "host", "html").unionByName(some.groupBy("page", "host").agg(F.min("html").alias("html")))
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """pages (page, host, html) -> (host, slots array<long>, fixed array<long>): a row per host with a template.
 
@@ -268,11 +282,11 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
     """pages' page_id and url with text, the main text, and n_chars, its code points; a row per row.
 
     Null html: empty. Rows without url are taken as pages of one unnamed host. Repeated rows and pages of one id
-    come out each; for templates, pages of one id and equal counts count as often as they occur. Character
+    come out each; for templates, pages of a host that read the same count once. Character
     references are decoded, white space in a block becomes one space, blocks are joined by one space.
     """
     base = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host_of(url).alias("host"), F.col(source).alias("html"))
-    known = cut(templates(base.select(F.xxhash64("page_id", "url").alias("page"), "host", "html")))
+    known = cut(templates(distinct(base)))
     held = known.agg(F.sum(F.size("slots") + F.size("fixed") + F.length("host") + 16)).first()[0] or 0
     joined = base.join(F.broadcast(known) if held <= broadcast else known, "host", "left").select("page_id", "url", "slots", "fixed", "html")
     kind = dict(base.dtypes)["page_id"]
