@@ -73,3 +73,29 @@ def test_every_leak_of_the_tables_is_found(spark):
         text = f" {' '.join(r['text'].split())} "
         want |= {(r["doc_id"], i) for i, w in known.items() if f" {' '.join(w)} " in text}
     assert want <= got and len(got - want) <= 2
+
+
+@pytest.mark.parametrize("broadcast", [2_000_000, 0])
+def test_short_items_and_scripts_without_spaces(spark, docs, broadcast):
+    """Items under ten words are found word for word; Chinese, Japanese and Thai items by their characters."""
+    zh = "".join(chr(0x4E00 + 37 * k) for k in range(60))
+    th = "".join(chr(0x0E01 + k * 7 % 46) for k in range(50))
+    items = [(1, "what is the capital of France?"), (2, "one two three four five six seven eight nine"), (3, zh), (4, th), (5, "東京は日本の首都"), (6, "word"), (7, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [
+        (1, around("What is the  capital of france"), {1}),
+        (2, around("what is the old capital of France?"), set()),
+        (3, items[1][1] + " " + items[1][1] + " word.", {2, 6}),
+        (4, "one two three four five six seven eight", set()),
+        (5, "see BERT" + zh[:20] + "、" + zh[20:] + "。end", {3}),
+        (6, zh[5:40], {3}),
+        (7, zh[5:25], set()),
+        (8, "x " + th + " y", {4}),
+        (9, "昔、東京は日本の首都だ。", {5}),
+        (10, "東京は日本の", set()),
+        (11, "words", set()),
+        (12, "wo", set()),
+    ]
+    got = with_leaks(docs([r[:2] for r in rows]), bench, broadcast_tokens=broadcast).collect()
+    assert {r["doc_id"]: {x["item_id"] for x in r["leaks"]} for r in got} == {i: s for i, _, s in rows}
+    assert [tuple(x) for r in got if r["doc_id"] == 3 for x in r["leaks"]] == [(2, 9, 9, 9), (6, 1, 18, 1)]

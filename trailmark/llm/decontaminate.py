@@ -1,9 +1,11 @@
 """Benchmark decontamination by spaced seeds.
 
-Tokens are words, A-Z lower-cased, without closing punctuation. A mask takes some of SPAN successive
+Tokens are words, A-Z lower-cased, without closing punctuation; of scripts that are written without spaces
+each character is a token, and two of them count as one word. A mask takes some of SPAN successive
 tokens and ignores the others, so that a substitution at an ignored place changes no hash. Hashes of all masks
 at all places of the texts meet those of the benchmark items; at each hit the two token sequences
-are compared along the hit's diagonal, and substitutions are tolerated there.
+are compared along the hit's diagonal, and substitutions are tolerated there. Items of fewer than SPAN tokens
+have one seed, all their tokens, and are found where a text holds them token for token.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trailmark.llm.runtime import pieces
-from trailmark.llm.textops import U, Words, mix
+from trailmark.llm.textops import CLOSING, U, Words, mix
 
 #: Taken places of each mask among SPAN tokens.
 MASKS = ((0, 1, 2, 4, 5, 7, 8, 9), (0, 1, 3, 4, 6, 8, 9), (0, 2, 3, 4, 7, 8, 9))
@@ -33,6 +35,48 @@ BROADCAST_TOKENS = 2_000_000
 BITS = 22
 
 
+#: Code points of scripts written without spaces, and of punctuation and spaces between them, which are no tokens.
+SINGLE = ((0x0E00, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x30FA), (0x30FC, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA000, 0xA4CF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF))
+BETWEEN = ((0x3000, 0x3004), (0x3008, 0x3020), (0x302A, 0x3030), (0x30FB, 0x30FB), (0xFE30, 0xFE4F), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+
+
+def among(code: np.ndarray, ranges: tuple) -> np.ndarray:
+    lo, hi = np.array(ranges).T
+    k = np.searchsorted(lo, code, "right") - 1
+    return (k >= 0) & (code <= hi[k])
+
+
+class Tokens(Words):
+    """A batch's words, cut into characters where their script has no spaces; single tells those. A hash's last bit does too."""
+
+    def __init__(self, col: pa.Array):
+        super().__init__(col, lower=True)
+        self.single = np.zeros(len(self.starts), bool)
+        d = self.data
+        at = np.flatnonzero(d >= 0xE0)
+        if not len(at):
+            return
+        size = np.where(d[at] >= 0xF0, 4, 3)
+        code = np.where(size == 4, d[at] & 0x07, d[at] & 0x0F).astype(np.int64)
+        for k in (1, 2, 3):
+            code = np.where(k < size, code << 6 | d[np.minimum(at + k, len(d) - 1)] & 0x3F, code)
+        one, none = among(code, SINGLE), among(code, BETWEEN)
+        cuts = np.unique(np.concatenate([at[one | none], (at + size)[one | none]]))
+        k = np.searchsorted(self.starts, cuts, "right") - 1
+        cuts = cuts[(k >= 0) & (cuts > self.starts[k]) & (cuts < self.ends[k])] if len(self.starts) else cuts[:0]
+        self.starts, self.ends = np.sort(np.concatenate([self.starts, cuts])), np.sort(np.concatenate([self.ends, cuts]))
+        mark = np.isin(self.starts, cuts) & (self.bare() - self.starts == 1) & CLOSING[d[self.starts]]
+        keep = ~mark & ~np.isin(self.starts, at[none])
+        self.starts, self.ends = self.starts[keep], self.ends[keep]
+        self.single = np.isin(self.starts, at[one])
+        self.first = np.searchsorted(self.starts, self.bounds)
+        self.counts = np.diff(self.first)
+        self.doc = np.repeat(np.arange(len(self.bounds) - 1), self.counts)
+
+    def bare_hashes(self) -> np.ndarray:
+        return super().bare_hashes() & ~U(1) | self.single.astype(U)
+
+
 def seeds(tokens: np.ndarray) -> list[np.ndarray]:
     """For each mask the hash at every place with SPAN tokens from it on."""
     n = len(tokens) - SPAN + 1
@@ -45,6 +89,43 @@ def seeds(tokens: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def entire(tokens: np.ndarray, size: int) -> np.ndarray:
+    """The hash of size tokens, fewer than SPAN, at every place with so many from it on."""
+    n = max(len(tokens) - size + 1, 0)
+    h = np.full(n, U(100 + size))
+    for k in range(size if n else 0):
+        h += tokens[k : k + n] * _MULT[k]
+    return mix(h)
+
+
+def own_seeds(tokens: np.ndarray) -> list[np.ndarray]:
+    """An item's seeds."""
+    return seeds(tokens) if len(tokens) >= SPAN else [entire(tokens, len(tokens))]
+
+
+def places(w: Tokens, tokens: np.ndarray, sizes: list[int], bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, their hashes) of the texts' seeds with a bit; of the seeds for items of sizes tokens each text's last."""
+    whole = np.flatnonzero(w.whole(SPAN))
+    for h in seeds(tokens):
+        at = whole[bits[(h[whole] >> U(64 - BITS)).astype(np.int64)]]
+        yield at, h[at]
+    for size in sizes:
+        h = entire(tokens, size)
+        at = np.flatnonzero(w.whole(size))
+        at = at[bits[(h[at] >> U(64 - BITS)).astype(np.int64)]]
+        at = at[np.lexsort((at, h[at], w.doc[at]))]
+        last = np.ones(len(at), bool)
+        last[:-1] = (h[at[1:]] != h[at[:-1]]) | (w.doc[at[1:]] != w.doc[at[:-1]])
+        yield at[last], h[at[last]]
+
+
+def needed(item: np.ndarray) -> int:
+    """Equal tokens that tell a leak of the item: all of a short one."""
+    if len(item) < SPAN:
+        return len(item)
+    return min(int(np.ceil(MATCHES * (1 + (item & U(1)).mean()))), int(np.ceil(SHARE * len(item))))
+
+
 def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
     """(equal tokens, first, end) of the stretch where equal tokens (1) less substitutions (2) add up to most."""
     best, at = (0, 0, 0), 0
@@ -64,15 +145,16 @@ def overlap(text: np.ndarray, place: int, item: np.ndarray, at: int) -> tuple[in
     ahead = min(len(text) - place, len(item) - at, REACH + SPAN)
     equal = text[place - back : place + ahead] == item[at - back : at + ahead]
     n, lo, hi = best_stretch(equal)
-    return (n, place - back + lo, hi - lo) if n >= min(MATCHES, int(np.ceil(SHARE * len(item)))) else None
+    return (n, place - back + lo, hi - lo) if n >= needed(item) else None
 
 
 class Benchmark:
-    """Items of SPAN tokens or more, with their seeds sorted."""
+    """Items with their seeds sorted."""
 
     def __init__(self, ids: list[int], tokens: list[np.ndarray]):
         self.ids, self.tokens = ids, tokens
-        got = [(h, np.full(len(h), i), np.arange(len(h))) for i, t in enumerate(tokens) for h in seeds(t)]
+        got = [(h, np.full(len(h), i), np.arange(len(h))) for i, t in enumerate(tokens) for h in own_seeds(t)]
+        self.sizes = sorted({len(t) for t in tokens if len(t) < SPAN})
         cat = [np.concatenate([g[k] for g in got]) if got else np.zeros(0, U if not k else np.int64) for k in range(3)]
         order = np.argsort(cat[0], kind="stable")
         self.hash, self.item, self.at = (c[order] for c in cat)
@@ -81,13 +163,11 @@ class Benchmark:
 
     def leaks(self, col: pa.Array) -> list[list[tuple[int, int, int, int]]]:
         """For each text (item id, equal tokens, first token, tokens), once an item, the fullest."""
-        w = Words(col, lower=True)
+        w = Tokens(col)
         tokens = w.bare_hashes()
-        whole = w.whole(SPAN)
         met: set[tuple[int, int, int]] = set()
-        for h in seeds(tokens):
-            maybe = np.flatnonzero(whole & self.bits[(h >> U(64 - BITS)).astype(np.int64)]) if len(h) else np.zeros(0, int)
-            lo, hi = np.searchsorted(self.hash, h[maybe]), np.searchsorted(self.hash, h[maybe], "right")
+        for maybe, h in places(w, tokens, self.sizes, self.bits):
+            lo, hi = np.searchsorted(self.hash, h), np.searchsorted(self.hash, h, "right")
             for place, a, b in zip(maybe[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
                 met.update((place, int(self.item[k]), int(self.at[k])) for k in range(a, b))
         out: list[dict] = [{} for _ in range(len(col))]
@@ -110,23 +190,23 @@ _ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("n_equal", pa.int32()), (
 
 
 def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
-    """(item_id, tokens array<long>) of the items with SPAN tokens or more."""
+    """(item_id, tokens array<long>) of the items with a token or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
-            w = Words(b.column(1), lower=True)
+            w = Tokens(b.column(1))
             flat = pa.array(w.bare_hashes().view(np.int64))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(w.first, pa.int32()), flat)], names=["item_id", "tokens"])
 
     rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text")).where("item_id is not null and text is not null")
-    return rows.mapInArrow(run, "item_id long, tokens array<long>").where(F.size("tokens") >= SPAN)
+    return rows.mapInArrow(run, "item_id long, tokens array<long>").where(F.size("tokens") > 0)
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", broadcast_tokens: int = BROADCAST_TOKENS, name: str = "leaks") -> DataFrame:
     """docs with a column of arrays (item_id, n_equal, start, n_tokens): the items each text leaks, once each, by item_id.
 
-    start and n_tokens (words) tell the stretch with most equal words. Items of under SPAN words, null
-    items and items without id are left out, being too short or nothing to find; a null or shorter text leaks nothing.
+    start and n_tokens (words) tell the stretch with most equal words, or the last place of an item of under SPAN words. Null or empty items and
+    items without id are left out, being nothing to find; a null text leaks nothing.
     Repeated rows are judged each; a column called `name` is replaced. An item that stands twice under one
     id counts once. A benchmark beyond broadcast_tokens words is joined by seeds instead of broadcast; the
     texts are then shuffled once, by hash of the whole text, and the result is the same.
@@ -165,51 +245,50 @@ def _joined(docs: DataFrame, items: DataFrame, text: str, name: str) -> DataFram
         for b in batches:
             for i, t in zip(b.column(0).to_pylist(), b.column(1)):
                 tokens = np.asarray(t.values).astype(np.int64).view(U)
-                for h in seeds(tokens):
+                for h in own_seeds(tokens):
                     n = len(h)
                     around = [tokens[max(0, k - REACH) : k + REACH + SPAN].view(np.int64) for k in range(n)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h.view(np.int64)), pa.array([i] * n, pa.int64()), pa.array([min(k, REACH) for k in range(n)], pa.int32()), pa.array([len(tokens)] * n, pa.int32()), pa.array(around, pa.list_(pa.int64()))], names=["h", "item_id", "at", "size", "around"]
+                        [pa.array(h.view(np.int64)), pa.array([i] * n, pa.int64()), pa.array([min(k, REACH) for k in range(n)], pa.int32()), pa.array([needed(tokens)] * n, pa.int32()), pa.array(around, pa.list_(pa.int64()))], names=["h", "item_id", "at", "need", "around"]
                     )
 
     def text_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
-            w = Words(b.column(2), lower=True)
+            w = Tokens(b.column(2))
             tokens = w.bare_hashes()
-            whole = np.flatnonzero(w.whole(SPAN))
-            bits = shared.value
-            for h in seeds(tokens):
-                at = whole[bits[(h[whole] >> U(64 - BITS)).astype(np.int64)]]
+            bits, sizes = shared.value
+            for at, h in places(w, tokens, sizes, bits):
                 doc = w.doc[at]
                 lo = np.maximum(at - REACH, w.first[doc])
                 hi = np.minimum(at + REACH + SPAN, w.first[doc + 1])
                 around = [tokens[a:z].view(np.int64) for a, z in zip(lo, hi)]
                 take = pa.array(doc)
-                yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), b.column(0).take(take), b.column(1).take(take), pa.array((at - w.first[doc]).astype(np.int32)), pa.array((at - lo).astype(np.int32)), pa.array(around, pa.list_(pa.int64()))], names=["h", "t1", "t2", "place", "p", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(0).take(take), b.column(1).take(take), pa.array((at - w.first[doc]).astype(np.int32)), pa.array((at - lo).astype(np.int32)), pa.array(around, pa.list_(pa.int64()))], names=["h", "t1", "t2", "place", "p", "words"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for t1, t2, place, p, words, item, at, size, around in zip(*(c.to_pylist() for c in b.columns)):
+            for t1, t2, place, p, words, item, at, need, around in zip(*(c.to_pylist() for c in b.columns)):
                 x, y = np.array(words), np.array(around)
                 back, ahead = min(p, at), min(len(x) - p, len(y) - at)
                 n, lo, hi = best_stretch(x[p - back : p + ahead] == y[at - back : at + ahead])
-                if n >= min(MATCHES, int(np.ceil(SHARE * size))):
+                if n >= need:
                     out.append((t1, t2, item, n, place - back + lo, hi - lo))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["t1", "t2", "item_id", "n_equal", "start", "n_tokens"])
 
-    known = items.mapInArrow(item_seeds, "h long, item_id long, at int, size int, around array<long>")
+    known = items.mapInArrow(item_seeds, "h long, item_id long, at int, need int, around array<long>")
     hit = F.shiftrightunsigned("h", 64 - BITS) + 1
     marks = known.select(hit.alias("b")).distinct().groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect()  # 2**BITS bits at most
     bits = np.zeros(1 << BITS, bool)
     for m in marks:
         lo = (m["k"] - 1) << 15  # a bucket holds 32,768 numbers from 1 on
         bits[lo : lo + (1 << 15)] = np.unpackbits(np.frombuffer(bytes(m["bits"]), np.uint8), bitorder="little").astype(bool)
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    sizes = sorted(r[0] for r in items.select(F.size("tokens")).where(F.size("tokens") < SPAN).distinct().collect())
+    shared = docs.sparkSession.sparkContext.broadcast((bits, sizes))
     keys = docs.withColumns({"__t1": F.xxhash64(text), "__t2": F.xxhash64(F.lit(1), text)})
-    places = keys.select(F.col("__t1").alias("t1"), F.col("__t2").alias("t2"), F.col(text).alias("text")).where("text is not null").mapInArrow(text_seeds, "h long, t1 long, t2 long, place int, p int, words array<long>")
-    met = places.join(known, "h").select("t1", "t2", "place", "p", "words", "item_id", "at", "size", "around")
+    hits = keys.select(F.col("__t1").alias("t1"), F.col("__t2").alias("t2"), F.col(text).alias("text")).where("text is not null").mapInArrow(text_seeds, "h long, t1 long, t2 long, place int, p int, words array<long>")
+    met = hits.join(known, "h").select("t1", "t2", "place", "p", "words", "item_id", "at", "need", "around")
     found = met.mapInArrow(verify, "t1 long, t2 long, item_id long, n_equal int, start int, n_tokens int")
     best = found.groupBy("t1", "t2", "item_id").agg(F.max(F.struct("n_equal", "start", "n_tokens")).alias("s")).select("t1", "t2", F.struct("item_id", "s.n_equal", "s.start", "s.n_tokens").alias("leak"))
     lists = best.groupBy("t1", "t2").agg(F.array_sort(F.collect_list("leak")).alias(name))
