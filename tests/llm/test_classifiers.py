@@ -72,3 +72,25 @@ def test_pairs_learn_what_single_terms_cannot():
     assert auc(z, np.array(y[1000:])) > 0.9
     linear = toxicity.Machine(m.slot, m.b, m.w, m.v * 0)
     assert auc(linear.logits(np.concatenate(lists[1000:]), first), np.array(y[1000:])) < 0.7
+
+
+def test_terms_that_matter_only_in_a_pair_are_kept():
+    """With production parameters: the balanced pair above, and a rare word that is toxic only beside a group mention."""
+    rng = np.random.default_rng(1)
+    balanced, rare, first, second = [], [], [], []
+    for k in range(1500):
+        insult, group = rng.random(2) < 0.5
+        balanced.append(" ".join([*(["insulting"] if insult else []), *(["grouping"] if group else []), *(f"w{rng.integers(50)}" for _ in range(8))]))
+        first.append(int(insult == group))
+    for k in range(7500):
+        word, group = k % 60 == 0, rng.random() < 0.2
+        rare.append(" ".join([*(["scum"] if word else []), *(["them"] if group else []), *(["vile"] if not word and k % 10 == 1 else []), *(f"w{rng.integers(50)}" for _ in range(8))]))
+        second.append(int(word and group or k % 10 == 1))
+    for texts, y, cut, pair in ((balanced, first, 1000, ("insulting", "grouping")), (rare, second, 6000, ("scum", "them"))):
+        ids, bounds = toxicity.terms(pa.array(texts))
+        lists = [ids[bounds[k] : bounds[k + 1]] for k in range(len(texts))]
+        y = np.array(y)
+        m = toxicity.train(lists[:cut], y[:cut])
+        assert all(m.slot[toxicity.terms(pa.array([w]))[0][0]] > 0 for w in pair)
+        z = m.logits(np.concatenate(lists[cut:]), bounds[cut:] - bounds[cut])
+        assert auc(z, y[cut:]) > 0.9

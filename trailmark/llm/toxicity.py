@@ -3,7 +3,8 @@
 score = sigmoid(b + sum_i w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j), x_i = 1 if the text has term i. A word gives
 up to three terms: the word without closing punctuation, and its first four and five bytes, which words
 of one stem share. Terms of the sample that tell the labels apart by `least` standard
-errors or more take part; others have no weight. A pair's product lets two terms mean more, or less,
+errors or more take part, and those of a pair whose texts differ by PAIRED from what its two terms one by one let
+expect; others have no weight. A pair's product lets two terms mean more, or less,
 together than one by one.
 """
 
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,8 @@ from trailmark.llm.runtime import pieces
 from trailmark.llm.textops import BASES, U, Words, mix, powers
 
 BITS, FACTORS, SAMPLE, LEAST, EPOCHS = 18, 6, 20_000, 3.0, 12
+#: Standard errors by which a pair's texts differ from what its two terms let expect; more than for terms, as there are so many more pairs.
+PAIRED = 5.0
 
 
 def terms(col: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -70,6 +74,57 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.logits(*terms(col, bits)), -30, 30)))
 
 
+def paired(lists: list[np.ndarray], y: np.ndarray, size: int, least: float = PAIRED) -> np.ndarray:
+    """The terms below `size` of all pairs that tell the labels apart beyond their two terms. Equal texts count once."""
+    own = {(xxhash.xxh3_128_digest(x.tobytes()), label): k for k, (x, label) in enumerate(zip(lists, y))}
+    rows = [lists[k] for k in own.values()]
+    y = y[list(own.values())] > 0
+    p = (y.sum() + 0.5) / (len(y) + 1)
+    seen, hits = np.zeros(size, np.int32), np.zeros(size, np.int32)
+    for x, label in zip(rows, y):
+        seen[x] += 1
+        hits[x] += label
+    few = int(least)  # no pair in so few texts reaches least
+    by = np.flatnonzero(seen > few)
+    by = by[np.argsort(seen[by], kind="stable")]  # rare terms first: they meet those after them
+    if not len(by):
+        return by
+    number = np.full(size, -1, np.int32)
+    number[by] = np.arange(len(by))
+    rows = [np.sort(x[x >= 0]) for x in (number[x] for x in rows)]
+    flat, ends = np.concatenate(rows), np.cumsum([len(x) for x in rows])
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in rows])
+    del rows, own
+    place = np.argsort(flat, kind="stable").astype(np.int32)  # a term's places in flat, one after another
+    first = np.concatenate([[0], np.cumsum(seen[by])])
+    rate = (hits[by] + p) / (seen[by] + 1)
+    odds, base = np.log(rate / (1 - rate)), np.log(p / (1 - p))
+    out = np.zeros(len(by), bool)
+
+    def after(at: np.ndarray) -> np.ndarray:
+        got = [flat[a:z] for a, z in zip((at + 1).tolist(), ends[doc[at]].tolist())]
+        return np.concatenate(got) if got else flat[:0]
+
+    for i in range(len(by) - 1):
+        at = place[first[i] : first[i + 1]]
+        all_, toxic = after(at), after(at[y[doc[at]]])
+        if 8 * len(all_) < len(by):  # a table of all terms costs more than sorting
+            all_.sort()
+            toxic.sort()
+            again = all_[few:]
+            j = np.unique(again[again == all_[: len(again)]])
+            n, h = (np.searchsorted(x, j, "right") - np.searchsorted(x, j) for x in (all_, toxic))
+        else:
+            n = np.bincount(all_, minlength=len(by))
+            j = np.flatnonzero(n > few)
+            n, h = n[j], np.bincount(toxic, minlength=len(by))[j]
+        e = 1 / (1 + np.exp(-np.clip(odds[i] + odds[j] - base, -30, 30)))
+        j = j[np.abs(h - n * e) >= least * np.sqrt(n * e * (1 - e) + 1)]
+        if len(j):
+            out[j] = out[i] = True
+    return by[out]
+
+
 def train(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors: int = FACTORS, least: float = LEAST, epochs: int = EPOCHS, rate: float = 0.2, decay: float = 1e-4, seed: int = 7) -> Machine:
     """A machine from distinct terms by text, and 0/1 labels, by AdaGrad on the logistic loss. No rows: score 0.5; one label only: near it."""
     n = len(lists)
@@ -83,7 +138,7 @@ def train(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors
         hits[x] += label
     p = (y.sum() + 0.5) / (n + 1)
     z = (hits - seen * p) / np.sqrt(seen * p * (1 - p) + 1)
-    kept = np.flatnonzero((seen >= 3) & (np.abs(z) >= least))
+    kept = np.union1d(np.flatnonzero((seen >= 3) & (np.abs(z) >= least)), paired(lists, y, 1 << bits))
     slot[kept] = np.arange(1, len(kept) + 1)
     rng = np.random.default_rng(seed)
     w, v = np.zeros(len(kept) + 1), rng.normal(0, 0.01, (len(kept) + 1, factors))
