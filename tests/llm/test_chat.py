@@ -1,6 +1,6 @@
 import hashlib
 
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from trailmark.llm.chat import assemble, control_rows, escape, format_turns, parse, read_back, render, unescape
@@ -8,11 +8,13 @@ from trailmark.llm.chat import assemble, control_rows, escape, format_turns, par
 tricky = st.text(alphabet=st.sampled_from(list("<|>\\ai_menstrd\n é🎉")), max_size=40)
 
 
+@settings(deadline=None)
 @given(tricky)
 def test_escaping_is_reversible(t):
     assert "<|" not in escape(t) and unescape(escape(t)) == t
 
 
+@settings(deadline=None)
 @given(tricky.map(lambda t: t.replace("\n", " ")), tricky)
 def test_turn_round_trip(role, text):
     for r in (role, "assistant"):

@@ -99,3 +99,72 @@ def test_short_items_and_scripts_without_spaces(spark, docs, broadcast):
     got = with_leaks(docs([r[:2] for r in rows]), bench, broadcast_tokens=broadcast).collect()
     assert {r["doc_id"]: {x["item_id"] for x in r["leaks"]} for r in got} == {i: s for i, _, s in rows}
     assert [tuple(x) for r in got if r["doc_id"] == 3 for x in r["leaks"]] == [(2, 9, 9, 9), (6, 1, 18, 1)]
+
+
+def spelt_out(text, items):
+    """Leaks by every diagonal that a seed hits, hit by hit, and every stretch of it."""
+    import numpy as np
+    import pyarrow as pa
+
+    from trailmark.llm import decontaminate as D
+
+    def tokens(t):
+        w = D.Tokens(pa.array([t]))
+        return w.bare_hashes().tolist()
+
+    x, best = tokens(text), {}
+    for i, item in items:
+        y = tokens(item)
+        masks = D.MASKS if len(y) >= D.SPAN else [range(len(y))]
+        size = min(len(y), D.SPAN)
+        if not size:
+            continue
+        ahead = {p - q for p in range(len(x) - size + 1) for q in range(len(y) - size + 1) if any(all(x[p + k] == y[q + k] for k in m) for m in masks)}
+        if size < D.SPAN:
+            ahead = {max(ahead)} if ahead else set()
+        for d in ahead:
+            lo, hi = max(d, 0), min(len(x), d + len(y))
+            equal = [x[p] == y[p - d] for p in range(lo, hi)]
+            top, got = 0, None
+            for e in range(1, len(equal) + 1):  # the first stretch to end with the best sum, and its shortest form
+                total = n = 0
+                for a in range(e - 1, -1, -1):
+                    total += 1 if equal[a] else -2
+                    n += equal[a]
+                    if total > top:
+                        top, got = total, (n, lo + a, e - a)
+            if got and got[0] >= D.needed(np.array(y, np.uint64)):
+                best[i] = max(best.get(i, (0, 0, 0)), got)
+    return sorted((i, *v) for i, v in best.items())
+
+
+@pytest.mark.parametrize("broadcast", [2_000_000, 0])
+def test_against_every_diagonal_spelt_out(spark, docs, broadcast):
+    """Random substitutions, repeated words, stretches that stand apart on one diagonal, long copies."""
+    r = random.Random(4)
+    items = [(k, " ".join(f"q{r.randrange(300)}" for _ in range(n))) for k, n in enumerate((4, 9, 12, 20, 45, 90, 400))]
+    items += [(20, "same " * 40), (21, "a b " * 15), (22, " ".join(f"s{k % 6}" for k in range(50)))]
+    rows = []
+    for n in range(150):
+        w = []
+        for _ in range(r.randrange(1, 4)):
+            w += [f"r{r.randrange(50)}" for _ in range(r.randrange(30))]
+            _, item = r.choice(items)
+            x = item.split()
+            lo = r.randrange(max(1, len(x) - 8))
+            x = x[lo : lo + r.randrange(4, len(x) + 1)]
+            rate = r.choice((0, 0.02, 0.1, 0.2))
+            w += ["other" if r.random() < rate else t for t in x]
+        rows.append((n, " ".join(w)))
+    rows += [(900, "pre " * 3 + items[6][1] + " post"), (901, "same " * 700), (902, "b a " * 60)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {d["doc_id"]: [tuple(x) for x in d["leaks"]] for d in with_leaks(docs(rows), bench, broadcast_tokens=broadcast).collect()}
+    assert got[900] == [(6, 400, 3, 400)]
+    assert sum(map(len, got.values())) > 100
+    assert got == {i: spelt_out(t, items) for i, t in rows}
+
+
+def test_long_texts_of_one_word_end(docs, spark):
+    bench = spark.createDataFrame([(1, "same " * 300), (2, "same other " * 300)], "item_id long, text string")
+    got = with_leaks(docs([(1, "same " * 100_000), (2, "same other " * 50_000)]), bench).collect()
+    assert {r["doc_id"]: {x["item_id"] for x in r["leaks"]} for r in got} == {1: {1}, 2: {2}}

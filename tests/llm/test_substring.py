@@ -65,21 +65,45 @@ def test_empty(docs):
     assert run(docs([])) == []
 
 
-def test_index_is_incremental_and_compacts(spark, docs):
-    from trailmark.llm.substring import repeats
-
-    index = FingerprintIndex(spark, fanout=2)
-    rows = corpus(5, 80)
-    want = {i: n for i, _, n, _ in brute(rows, 12)}
-    found = set()
-    past = None
-    for lo in range(0, 80, 20):
-        batch = docs(rows[lo : lo + 20]).selectExpr("doc_id as doc", "text")
-        found |= {r["doc"] for r in repeats(batch, index, past, 12).collect()}
-        past = batch if past is None else past.union(batch)
-        assert len(index.runs) <= 2
-    assert found == {i for i, n in want.items() if n}
-    index.drop()
+@pytest.mark.parametrize("fanout,batches", [(2, 1), (2, 2), (8, 3)])
+def test_calls_on_one_folder_are_as_one_call(spark, docs, tmp_path, fanout, batches):
+    """Each call opens the index anew; earlier texts aren't at hand any more."""
+    rows = corpus(5, 90)
+    got = []
+    for lo in range(0, 90, 30):
+        index = FingerprintIndex(spark, str(tmp_path), fanout=fanout)
+        got += run(docs(rows[lo : lo + 30]), window=12, batches=batches, index=index)
+        assert len(index.runs) <= fanout and len(index.logs) == batches * (lo // 30 + 1)
+    assert sorted(got, key=repr) == brute(rows, 12)
+    runs = [p.name for p in tmp_path.iterdir() if p.name.startswith("run-")]
+    assert sorted(runs) == sorted(FingerprintIndex(spark, str(tmp_path)).runs)
+    # A day that was indexed already, under other ids, has nothing new.
+    again = dedup_substrings(docs([(i - 1000, t) for i, t in rows]), window=12, index=FingerprintIndex(spark, str(tmp_path)))
+    assert again.where("n_words >= 12 and n_removed = 0").count() == 0
+
+
+def test_a_batch_that_died_leaves_the_index_as_it_was(spark, docs, tmp_path):
+    from trailmark.llm.substring import segments
+
+    text = " ".join(f"a{k}" for k in range(30))
+    index = FingerprintIndex(spark, str(tmp_path))
+    index.append(segments(docs([(1, text)]).selectExpr("doc_id as doc", "text"), 12))  # never committed
+    assert run(docs([(2, text)]), window=12, index=FingerprintIndex(spark, str(tmp_path))) == [(2, 30, 0, text)]
+    assert run(docs([(3, text)]), window=12, index=FingerprintIndex(spark, str(tmp_path))) == [(3, 30, 30, "")]
+
+
+def thue_morse(n, a, b):
+    return [b if bin(k).count("1") & 1 else a for k in range(n)]
+
+
+def test_patterned_words_and_texts_do_not_collide(docs):
+    """A sequence and its complement agree in every polynomial modulo a power of two, if long enough."""
+    w = [f"w{k}" for k in range(49)]
+    one, two = "".join(thue_morse(4096, "a", "b")), "".join(thue_morse(4096, "b", "a"))
+    three, four = " ".join(thue_morse(4096, "a", "b")), " ".join(thue_morse(4096, "b", "a"))
+    rows = [(1, " ".join([one, *w])), (2, " ".join([two, *w])), (3, " ".join([*w, one])), (4, " ".join([*w, two])), (5, three), (6, four), (7, "x " + three)]
+    assert run(docs(rows)) == brute(rows, 50)
+    assert [r[2] for r in run(docs(rows[:4]))] == [0, 0, 0, 0]
 
 
 @settings(max_examples=4, deadline=None)

@@ -4,7 +4,7 @@ Tokens are words, A-Z lower-cased, without closing punctuation; of scripts that
 each character is a token, and two of them count as one word. A mask takes some of SPAN successive
 tokens and ignores the others, so that a substitution at an ignored place changes no hash. Hashes of all masks
 at all places of the texts meet those of the benchmark items; at each hit the two token sequences
-are compared along the hit's diagonal, and substitutions are tolerated there. Items of fewer than SPAN tokens
+are compared along the hit's whole diagonal, once, and substitutions are tolerated there. Items of fewer than SPAN tokens
 have one seed, all their tokens, and are found where a text holds them token for token.
 """
 
@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailmark.llm.runtime import pieces
-from trailmark.llm.textops import CLOSING, U, Words, mix
+from trailmark.llm.runtime import cut, pieces, split
+from trailmark.llm.textops import CLOSING, U, Words, combine, mix
 
 #: Taken places of each mask among SPAN tokens.
 MASKS = ((0, 1, 2, 4, 5, 7, 8, 9), (0, 1, 3, 4, 6, 8, 9), (0, 2, 3, 4, 7, 8, 9))
@@ -28,11 +28,10 @@ _MULT = mix(np.arange(1, 33, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
 #: A text leaks an item if a stretch of one diagonal has so many equal tokens (or SHARE of the item's, if fewer);
 #: in the stretch each substitution takes away what two equal tokens add.
 MATCHES, SHARE = 13, 0.7
-#: Tokens on either side of a hit that are compared.
-REACH = 64
 #: Benchmarks of up to so many tokens are broadcast (8 bytes a token and 12 a seed); larger ones are joined.
 BROADCAST_TOKENS = 2_000_000
-BITS = 22
+#: Bits of the bitmaps that tell which hashes the benchmark may have, in either case.
+BITS, JOINED_BITS = 22, 27
 
 
 #: Code points of scripts written without spaces, and of punctuation and spaces between them, which are no tokens.
@@ -98,25 +97,37 @@ def entire(tokens: np.ndarray, size: int) -> np.ndarray:
     return mix(h)
 
 
-def own_seeds(tokens: np.ndarray) -> list[np.ndarray]:
-    """An item's seeds."""
-    return seeds(tokens) if len(tokens) >= SPAN else [entire(tokens, len(tokens))]
+#: Stand for the seed before a text's and an item's first; they never meet.
+BEFORE_TEXT, BEFORE_ITEM = U(1), U(2)
 
 
-def places(w: Tokens, tokens: np.ndarray, sizes: list[int], bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(places, their hashes) of the texts' seeds with a bit; of the seeds for items of sizes tokens each text's last."""
+def own_seeds(tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """An item's seeds with the seed before each (one place back, by the same mask)."""
+    for h in seeds(tokens) if len(tokens) >= SPAN else [entire(tokens, len(tokens))]:
+        yield h, np.append(BEFORE_ITEM, h[:-1])
+
+
+def marked(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether the bit is set that a hash's first bits number, in a bitmap of a power of two of bytes."""
+    at = h >> U(64 - (8 * len(bits)).bit_length() + 1)
+    return bits[(at >> U(3)).astype(np.int64)] >> (at & U(7)).astype(np.uint8) & np.uint8(1) > 0
+
+
+def places(w: Tokens, tokens: np.ndarray, sizes: list[int], bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places, their hashes, the hashes before) of the texts' seeds with a bit; of the seeds for items of sizes tokens each text's last."""
     whole = np.flatnonzero(w.whole(SPAN))
     for h in seeds(tokens):
-        at = whole[bits[(h[whole] >> U(64 - BITS)).astype(np.int64)]]
-        yield at, h[at]
+        at = whole[marked(bits, h[whole])]
+        yield at, h[at], np.where(at > w.first[w.doc[at]], h[at - 1], BEFORE_TEXT)
     for size in sizes:
         h = entire(tokens, size)
         at = np.flatnonzero(w.whole(size))
-        at = at[bits[(h[at] >> U(64 - BITS)).astype(np.int64)]]
+        at = at[marked(bits, h[at])]
         at = at[np.lexsort((at, h[at], w.doc[at]))]
         last = np.ones(len(at), bool)
         last[:-1] = (h[at[1:]] != h[at[:-1]]) | (w.doc[at[1:]] != w.doc[at[:-1]])
-        yield at[last], h[at[last]]
+        at = at[last]
+        yield at, h[at], np.full(len(at), BEFORE_TEXT)
 
 
 def needed(item: np.ndarray) -> int:
@@ -127,59 +138,75 @@ def needed(item: np.ndarray) -> int:
 
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
-    """(equal tokens, first, end) of the stretch where equal tokens (1) less substitutions (2) add up to most."""
-    best, at = (0, 0, 0), 0
-    total = top = 0
-    for i, e in enumerate(equal.tolist()):
-        total += 1 if e else -2
-        if total <= 0:
-            total, at = 0, i + 1
-        elif total > top:
-            top, best = total, (0, at, i + 1)
-    return int(equal[best[1] : best[2]].sum()), best[1], best[2]
-
-
-def overlap(text: np.ndarray, place: int, item: np.ndarray, at: int) -> tuple[int, int, int] | None:
-    """(equal tokens, first token in the text, tokens) where an item overlaps a text around text[place] = item[at]; None if it is too little."""
-    back = min(place, at, REACH)
-    ahead = min(len(text) - place, len(item) - at, REACH + SPAN)
-    equal = text[place - back : place + ahead] == item[at - back : at + ahead]
-    n, lo, hi = best_stretch(equal)
-    return (n, place - back + lo, hi - lo) if n >= needed(item) else None
+    """(equal tokens, first, end) of the stretch where equal tokens (1) less substitutions (2) add up to most; of several the first to end, and there the shortest."""
+    total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))])
+    least = np.minimum.accumulate(total)
+    end = int(np.argmax(total - least))
+    first = int(np.flatnonzero(total[: end + 1] == least[end])[-1])
+    return int(equal[first:end].sum()), first, end
+
+
+def overlap(text: np.ndarray, item: np.ndarray, ahead: int, need: int) -> tuple[int, int, int] | None:
+    """(equal tokens, first token in the text, tokens) where the whole of an item that begins `ahead` tokens after the text does agrees best; None if it is too little."""
+    lo, hi = max(ahead, 0), min(len(text), ahead + len(item))
+    equal = text[lo:hi] == item[lo - ahead : hi - ahead]
+    if equal.sum() < need:
+        return None
+    n, first, end = best_stretch(equal)
+    return (n, lo + first, end - first) if n >= need else None
 
 
 class Benchmark:
-    """Items with their seeds sorted."""
+    """Items with their seeds sorted by hash, then by the hash before.
+
+    Where a text's and an item's seeds agree, and those before them too, the diagonal is known already: a repeated
+    word, or any copied passage, gives its diagonals once each and not a pair for all its places.
+    """
 
     def __init__(self, ids: list[int], tokens: list[np.ndarray]):
         self.ids, self.tokens = ids, tokens
-        got = [(h, np.full(len(h), i), np.arange(len(h))) for i, t in enumerate(tokens) for h in own_seeds(t)]
+        self.need = [needed(t) for t in tokens]
+        got = [(h, before, np.full(len(h), i), np.arange(len(h))) for i, t in enumerate(tokens) for h, before in own_seeds(t)]
         self.sizes = sorted({len(t) for t in tokens if len(t) < SPAN})
-        cat = [np.concatenate([g[k] for g in got]) if got else np.zeros(0, U if not k else np.int64) for k in range(3)]
-        order = np.argsort(cat[0], kind="stable")
-        self.hash, self.item, self.at = (c[order] for c in cat)
-        self.bits = np.zeros(1 << BITS, bool)
-        self.bits[(self.hash >> U(64 - BITS)).astype(np.int64)] = True
+        cat = [np.concatenate([g[k] for g in got]) if got else np.zeros(0, U if k < 2 else np.int64) for k in range(4)]
+        order = np.lexsort((cat[1], cat[0]))
+        self.hash, before, self.item, self.at = (c[order] for c in cat)
+        pair = combine(self.hash, before)
+        lo = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])[: len(pair)])
+        by = np.argsort(pair[lo], kind="stable")
+        self.pair, self.pair_lo, self.pair_hi = pair[lo][by], lo[by], np.append(lo[1:], len(pair))[: len(lo)][by]
+        at = np.unique(self.hash >> U(64 - BITS)).astype(np.int64)
+        flags = np.zeros(1 << BITS, bool)
+        flags[at] = True
+        self.bits = np.packbits(flags, bitorder="little")
+
+    def _met(self, h: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (number in h, number of a seed) of equal hashes but different ones before."""
+        lo, hi = np.searchsorted(self.hash, h), np.searchsorted(self.hash, h, "right")
+        pair = combine(h, before)
+        k = np.minimum(np.searchsorted(self.pair, pair), max(len(self.pair) - 1, 0))
+        same = self.pair[k] == pair if len(self.pair) else np.zeros(len(h), bool)
+        till = np.where(same, self.pair_lo[k], hi) if len(self.pair) else hi
+        since = np.where(same, self.pair_hi[k], hi) if len(self.pair) else hi
+        one, two = till - lo, hi - since
+        many = one + two
+        which = np.repeat(np.arange(len(h)), many)
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
+        return which, np.where(nth < one[which], lo[which] + nth, since[which] + nth - one[which])
 
     def leaks(self, col: pa.Array) -> list[list[tuple[int, int, int, int]]]:
         """For each text (item id, equal tokens, first token, tokens), once an item, the fullest."""
         w = Tokens(col)
         tokens = w.bare_hashes()
-        met: set[tuple[int, int, int]] = set()
-        for maybe, h in places(w, tokens, self.sizes, self.bits):
-            lo, hi = np.searchsorted(self.hash, h), np.searchsorted(self.hash, h, "right")
-            for place, a, b in zip(maybe[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
-                met.update((place, int(self.item[k]), int(self.at[k])) for k in range(a, b))
         out: list[dict] = [{} for _ in range(len(col))]
-        done: set[tuple[int, int]] = set()
-        for place, item, at in sorted(met):
-            doc = int(w.doc[place])
-            first = int(w.first[doc])
-            block = (item, place - at, (place - first) // REACH)
-            if block in done:  # compared from a hit just before
-                continue
-            done.add(block)
-            got = overlap(tokens[first : w.first[doc + 1]], place - first, self.tokens[item], at)
+        met = []
+        for at, h, before in places(w, tokens, self.sizes, self.bits):
+            which, seed = self._met(h, before)
+            if len(which):
+                doc = w.doc[at[which]]
+                met.append(np.unique(np.stack([doc, self.item[seed], at[which] - w.first[doc] - self.at[seed]], 1), axis=0))
+        for doc, item, ahead in np.unique(np.concatenate(met), axis=0).tolist() if met else ():
+            got = overlap(tokens[w.first[doc] : w.first[doc + 1]], self.tokens[item], ahead, self.need[item])
             if got and got > out[doc].get(item, (0, 0, 0)):
                 out[doc][item] = got
         return [[(self.ids[i], *v) for i, v in sorted(x.items())] for x in out]
@@ -205,11 +232,12 @@ def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
 def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", broadcast_tokens: int = BROADCAST_TOKENS, name: str = "leaks") -> DataFrame:
     """docs with a column of arrays (item_id, n_equal, start, n_tokens): the items each text leaks, once each, by item_id.
 
-    start and n_tokens (words) tell the stretch with most equal words, or the last place of an item of under SPAN words. Null or empty items and
+    start and n_tokens (words) tell the stretch with most equal words, or the last place of an item of under SPAN words; each
+    diagonal that a seed hits is compared over its whole length. Null or empty items and
     items without id are left out, being nothing to find; a null text leaks nothing.
     Repeated rows are judged each; a column called `name` is replaced. An item that stands twice under one
-    id counts once. A benchmark beyond broadcast_tokens words is joined by seeds instead of broadcast; the
-    texts are then shuffled once, by hash of the whole text, and the result is the same.
+    id counts once. A benchmark beyond broadcast_tokens words is joined by seeds instead of broadcast, with the same
+    seeds and comparisons, and so the same result.
     """
     docs = docs.drop(name)
     items = _items(benchmark, item_id, item_text)
@@ -239,57 +267,65 @@ def _once(own: list[tuple]) -> list[tuple]:
 
 
 def _joined(docs: DataFrame, items: DataFrame, text: str, name: str) -> DataFrame:
-    """with_leaks for a benchmark of any size: seeds are joined, with the tokens around each place."""
+    """with_leaks for a benchmark of any size: seeds are joined, and then the tokens of both sides along each diagonal that was hit."""
 
     def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1)):
+            for key, t in zip(b.column(0).to_pylist(), b.column(1)):
                 tokens = np.asarray(t.values).astype(np.int64).view(U)
-                for h in own_seeds(tokens):
+                for h, before in own_seeds(tokens):
                     n = len(h)
-                    around = [tokens[max(0, k - REACH) : k + REACH + SPAN].view(np.int64) for k in range(n)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(h.view(np.int64)), pa.array([i] * n, pa.int64()), pa.array([min(k, REACH) for k in range(n)], pa.int32()), pa.array([needed(tokens)] * n, pa.int32()), pa.array(around, pa.list_(pa.int64()))], names=["h", "item_id", "at", "need", "around"]
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(before.view(np.int64)), pa.array([key] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.array([len(tokens)] * n, pa.int32())], names=["h", "own_before", "item", "at", "size"])
 
     def text_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, sizes = shared.value
         for b in pieces(batches, "text"):
             w = Tokens(b.column(2))
             tokens = w.bare_hashes()
-            bits, sizes = shared.value
-            for at, h in places(w, tokens, sizes, bits):
-                doc = w.doc[at]
-                lo = np.maximum(at - REACH, w.first[doc])
-                hi = np.minimum(at + REACH + SPAN, w.first[doc + 1])
-                around = [tokens[a:z].view(np.int64) for a, z in zip(lo, hi)]
-                take = pa.array(doc)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(0).take(take), b.column(1).take(take), pa.array((at - w.first[doc]).astype(np.int32)), pa.array((at - lo).astype(np.int32)), pa.array(around, pa.list_(pa.int64()))], names=["h", "t1", "t2", "place", "p", "words"])
+            for at, h, before in places(w, tokens, sizes, bits):
+                take = pa.array(w.doc[at])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(before.view(np.int64)), b.column(0).take(take), b.column(1).take(take), pa.array((at - w.first[w.doc[at]]).astype(np.int32))], names=["h", "before", "t1", "t2", "place"])
+
+    def text_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, "text"):
+            w = Tokens(b.column(2))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(w.first, pa.int32()), pa.array(w.bare_hashes().view(np.int64)))], names=["t1", "t2", "words"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for t1, t2, place, p, words, item, at, need, around in zip(*(c.to_pylist() for c in b.columns)):
-                x, y = np.array(words), np.array(around)
-                back, ahead = min(p, at), min(len(x) - p, len(y) - at)
-                n, lo, hi = best_stretch(x[p - back : p + ahead] == y[at - back : at + ahead])
-                if n >= need:
-                    out.append((t1, t2, item, n, place - back + lo, hi - lo))
+            for t1, t2, item, lo, words, tokens in zip(*(c.to_pylist() for c in b.columns[:4]), b.column(4), b.column(5)):
+                # words: the text from its token `lo` on, or from its first, as far as the item goes
+                own, known = (np.asarray(x.values).astype(np.int64).view(U) for x in (words, tokens))
+                got = overlap(own, known, min(lo, 0), needed(known))
+                if got:
+                    out.append((t1, t2, item, got[0], max(lo, 0) + got[1], got[2]))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["t1", "t2", "item_id", "n_equal", "start", "n_tokens"])
-
-    known = items.mapInArrow(item_seeds, "h long, item_id long, at int, need int, around array<long>")
-    hit = F.shiftrightunsigned("h", 64 - BITS) + 1
-    marks = known.select(hit.alias("b")).distinct().groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect()  # 2**BITS bits at most
-    bits = np.zeros(1 << BITS, bool)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["t1", "t2", "item", "n_equal", "start", "n_tokens"])
+
+    named = items.select("item_id", F.xxhash64("item_id", "tokens").alias("item"), "tokens").dropDuplicates(["item"])
+    named = cut(named)
+    known = named.select("item", "tokens").mapInArrow(item_seeds, "h long, own_before long, item long, at int, size int")
+    hit = F.shiftrightunsigned("h", 64 - JOINED_BITS) + 1
+    marks = known.select(hit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect()  # 2**JOINED_BITS bits at most
+    bits = np.zeros(1 << JOINED_BITS - 3, np.uint8)
     for m in marks:
-        lo = (m["k"] - 1) << 15  # a bucket holds 32,768 numbers from 1 on
-        bits[lo : lo + (1 << 15)] = np.unpackbits(np.frombuffer(bytes(m["bits"]), np.uint8), bitorder="little").astype(bool)
+        lo = (m["k"] - 1) << 12  # a bucket holds 32,768 numbers from 1 on
+        bits[lo : lo + (1 << 12)] = np.frombuffer(bytes(m["bits"]), np.uint8)
     sizes = sorted(r[0] for r in items.select(F.size("tokens")).where(F.size("tokens") < SPAN).distinct().collect())
     shared = docs.sparkSession.sparkContext.broadcast((bits, sizes))
     keys = docs.withColumns({"__t1": F.xxhash64(text), "__t2": F.xxhash64(F.lit(1), text)})
-    hits = keys.select(F.col("__t1").alias("t1"), F.col("__t2").alias("t2"), F.col(text).alias("text")).where("text is not null").mapInArrow(text_seeds, "h long, t1 long, t2 long, place int, p int, words array<long>")
-    met = hits.join(known, "h").select("t1", "t2", "place", "p", "words", "item_id", "at", "need", "around")
-    found = met.mapInArrow(verify, "t1 long, t2 long, item_id long, n_equal int, start int, n_tokens int")
+    texts = keys.select(F.col("__t1").alias("t1"), F.col("__t2").alias("t2"), F.col(text).alias("text")).where("text is not null")
+    hits = texts.mapInArrow(text_seeds, "h long, before long, t1 long, t2 long, place int")
+    met = hits.join(known, (hits["h"] == known["h"]) & (hits["before"] != known["own_before"]))
+    met = cut(met.select("t1", "t2", "item", (F.col("place") - F.col("at")).alias("ahead"), "size").distinct())
+    # Of the texts only those that were hit are shuffled, once each; a diagonal takes the words beside the item along.
+    wanted = met.select("t1", "t2", F.xxhash64("t1", "t2").alias("t")).distinct()
+    some = split(texts.withColumn("t", F.xxhash64("t1", "t2")), "t", wanted, "t")[0].dropDuplicates(["t1", "t2"])
+    words = some.select("t1", "t2", "text").mapInArrow(text_tokens, "t1 long, t2 long, words array<long>")
+    beside = met.join(words, ["t1", "t2"]).select("t1", "t2", "item", "ahead", F.expr("slice(words, greatest(ahead, 0) + 1, size + least(ahead, 0))").alias("words"))
+    beside = beside.join(named.select("item", "tokens"), "item").select("t1", "t2", "item", "ahead", "words", "tokens")
+    found = beside.mapInArrow(verify, "t1 long, t2 long, item long, n_equal int, start int, n_tokens int").join(named.select("item", "item_id"), "item")
     best = found.groupBy("t1", "t2", "item_id").agg(F.max(F.struct("n_equal", "start", "n_tokens")).alias("s")).select("t1", "t2", F.struct("item_id", "s.n_equal", "s.start", "s.n_tokens").alias("leak"))
     lists = best.groupBy("t1", "t2").agg(F.array_sort(F.collect_list("leak")).alias(name))
     out = keys.join(lists, (keys["__t1"] == lists["t1"]) & (keys["__t2"] == lists["t2"]), "left")

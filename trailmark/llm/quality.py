@@ -1,10 +1,10 @@
 """Quality by supervised subword embeddings.
 
-A word (case kept) gives features: itself, its byte n-grams of 3 to 5, its first and last three bytes
-marked as such, and, if it is the word before it again, that pair of words, whichever they are; all
-hashed into 2**bits rows. A text is the average of its features' learned vectors,
-each as often as it occurs; a softmax on that gives the two labels' probabilities. Vectors and softmax are
-trained together by stochastic gradient descent with a falling rate, one text at a time.
+A word (case kept) gives features: itself, its character n-grams of 3 to 5, and its first and last three characters
+marked as such; each two words in a row give one more. All are hashed into 2**bits rows. A text is the average of its
+features' learned vectors, each as often as it occurs; a softmax on that gives the two labels' probabilities. Vectors
+and softmax are trained together by stochastic gradient descent, a text at a time, each number's steps divided by the root of
+its squared gradients so far (AdaGrad), so that rare features learn as well as common ones.
 """
 
 from __future__ import annotations
@@ -21,43 +21,46 @@ from pyspark.sql import types as T
 
 from trailmark.llm.labelled import fold, training_rows
 from trailmark.llm.runtime import pieces
-from trailmark.llm.textops import BASES, U, Words, mix, powers
+from trailmark.llm.textops import U, Words, combine, hash_ranges
 
-BITS, SIZE, SAMPLE, EPOCHS, RATE = 17, 16, 8_000, 5, 0.5
+BITS, SIZE, SAMPLE, EPOCHS, RATE = 17, 16, 8_000, 4, 0.5
 GRAMS = (3, 4, 5)
 
 
-def word_features(w: Words, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a batch: each word's kind, the features of all kinds one after another, and the kinds' bounds."""
-    up, down = powers(BASES[0], len(w.data) + 1)
-    total = np.zeros(len(w.data) + 1, U)
-    np.cumsum((w.data.astype(U) + U(1)) * up[: len(w.data)], out=total[1:])
-
-    def of(s: np.ndarray, e: np.ndarray, salt: int) -> np.ndarray:
-        return mix((total[e] - total[s]) * down[s] + U(salt * 0xA24BAED4963EE407 & 0xFFFFFFFFFFFFFFFF))
-
-    own = of(w.starts, w.ends, 1)
-    again = np.zeros(len(own), bool)
-    again[1:] = (own[1:] == own[:-1]) & (w.doc[1:] == w.doc[:-1])
-    _, at, kind = np.unique(np.where(again, own ^ U(1), own), return_index=True, return_inverse=True)
+def word_features(w: Words, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a batch: each word's kind, the features of all kinds one after another, the kinds' bounds, and for each word that of it and the next (-1 at a text's end)."""
+    shift = U(64 - bits)
+    own = hash_ranges(w.data, w.starts, w.ends, 1)
+    _, at, kind = np.unique(own, return_index=True, return_inverse=True)
+    # Characters of one word of each kind: where they begin, with the word's end after the last.
     s, e = w.starts[at], w.ends[at]
+    begins = (w.data & 0xC0) != 0x80
+    begins[s] = True
+    count = np.concatenate([[0], np.cumsum(begins)])
+    many = count[e] - count[s]
+    place = np.flatnonzero(begins)
     which, values = [np.arange(len(at))], [own[at]]
-    for n in GRAMS:
-        many = np.maximum(e - s - n + 1, 0)
-        k = np.repeat(np.arange(len(at)), many)
-        begin = s[k] + np.arange(len(k)) - np.repeat(np.cumsum(many) - many, many)
+
+    def grams(k: np.ndarray, nth: np.ndarray, n: int, salt: int) -> None:
+        """Of words k the n characters from their nth on."""
+        lo = count[s[k]] + nth
+        end = np.where(nth + n < many[k], place[np.minimum(lo + n, len(place) - 1)], e[k])
         which.append(k)
-        values.append(of(begin, begin + n, n))
-    long = np.flatnonzero(e - s >= 3)
-    which += [long, long]
-    values += [of(s[long], s[long] + 3, 11), of(e[long] - 3, e[long], 12)]
-    echo = np.flatnonzero(again[at])
-    which.append(echo)
-    values.append(np.full(len(echo), mix(np.array([0x7FEB352D], U))[0]))
+        values.append(hash_ranges(w.data, place[lo], end, salt))
+
+    for n in GRAMS:
+        each = np.maximum(many - n + 1, 0)
+        k = np.repeat(np.arange(len(at)), each)
+        grams(k, np.arange(len(k)) - np.repeat(np.cumsum(each) - each, each), n, n)
+    long = np.flatnonzero(many >= 3)
+    grams(long, np.zeros(len(long), np.int64), 3, 11)
+    grams(long, many[long] - 3, 3, 12)
     which_all = np.concatenate(which)
     order = np.argsort(which_all, kind="stable")
-    ids = (np.concatenate(values)[order] >> U(64 - bits)).astype(np.int64)
-    return kind, ids, np.searchsorted(which_all[order], np.arange(len(at) + 1))
+    ids = (np.concatenate(values)[order] >> shift).astype(np.int64)
+    pair = np.full(len(own), -1, np.int64)
+    pair[:-1] = np.where(w.doc[1:] == w.doc[:-1], (combine(own[:-1], own[1:]) >> shift).astype(np.int64), -1)
+    return kind, ids, np.searchsorted(which_all[order], np.arange(len(at) + 1)), pair
 
 
 def bags(col: pa.Array, bits: int = BITS) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -68,10 +71,11 @@ def bags(col: pa.Array, bits: int = BITS) -> list[tuple[np.ndarray, np.ndarray]]
         if not len(w):
             out.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
             continue
-        kind, ids, bounds = word_features(w, bits)
+        kind, ids, bounds, pair = word_features(w, bits)
         each = np.bincount(kind, minlength=len(bounds) - 1)
-        counts = np.bincount(ids, np.repeat(each, np.diff(bounds)), 1 << bits)
-        some = np.unique(ids)
+        ids, pair = np.concatenate([ids, pair[pair >= 0]]), np.repeat(each, np.diff(bounds))
+        counts = np.bincount(ids, np.concatenate([pair, np.ones(len(ids) - len(pair), np.int64)]))
+        some = np.flatnonzero(counts)
         out.append((some, counts[some].astype(np.int64)))
     return out
 
@@ -88,11 +92,11 @@ class Embeddings:
         n = len(col)
         z = np.full(n, self.b)
         if len(w):
-            kind, ids, bounds = word_features(w, bits)
+            kind, ids, bounds, pair = word_features(w, bits)
             sums = np.add.reduceat(self.slopes[ids], bounds[:-1])
-            many = np.diff(bounds)
-            full = np.bincount(w.doc, many[kind], n)
-            z += np.bincount(w.doc, sums[kind], n) / np.maximum(full, 1)
+            two = pair >= 0
+            full = np.bincount(w.doc, np.diff(bounds)[kind] + two, n)
+            z += np.bincount(w.doc, sums[kind] + np.where(two, self.slopes[pair], 0), n) / np.maximum(full, 1)
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -101,25 +105,28 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: i
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / size, 1 / size, (1 << bits, size)).astype(np.float32)
     out, bias = np.zeros((size, 2), np.float32), np.zeros(2, np.float32)
+    past, past_out, past_bias = (np.full(x.shape, 1e-8, np.float32) for x in (vectors, out, bias))
     y = np.asarray(labels, int)
-    steps, done = max(1, epochs * len(rows)), 0
+    shares = [(c / max(1, c.sum())).astype(np.float32) for _, c in rows]
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            ids, counts = rows[i]
-            lr = rate * (1 - done / steps)
-            done += 1
-            share = (counts / counts.sum()).astype(np.float32) if len(ids) else np.zeros(0, np.float32)
-            hidden = share @ vectors[ids] if len(ids) else np.zeros(size, np.float32)
+            ids, share = rows[i][0], shares[i]
+            own = vectors[ids]
+            hidden = share @ own if len(ids) else np.zeros(size, np.float32)
             z = hidden @ out + bias
-            p = np.exp(z - z.max())
-            g = (p / p.sum()).astype(np.float32)
+            g = np.exp(z - z.max())
+            g /= g.sum()
             g[y[i]] -= 1
-            back = out @ g
-            out -= lr * np.outer(hidden, g)
-            bias -= lr * g
-            if len(ids):
-                # Shares are small in a long text: steps are scaled up to the rate of a text of 100 features.
-                vectors[ids] -= lr * np.outer(share * min(len(ids), 100), back)
+            back = share[:, None] * (out @ g)
+            slope = np.outer(hidden, g)
+            past_out += slope * slope
+            out -= rate * slope / np.sqrt(past_out)
+            past_bias += g * g
+            bias -= rate * g / np.sqrt(past_bias)
+            if len(ids):  # distinct within a text
+                so_far = past[ids] + back * back
+                past[ids] = so_far
+                vectors[ids] = own - rate * back / np.sqrt(so_far)
     return Embeddings((vectors @ (out[:, 1] - out[:, 0])).astype(np.float64), float(bias[1] - bias[0]))
 
 

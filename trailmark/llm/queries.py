@@ -14,7 +14,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept = substring.dedup_substrings(docs, window=50, batches=2, layout=False)
+    kept = substring.dedup_substrings(docs, window=50, batches=3, layout=False)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 

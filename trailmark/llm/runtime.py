@@ -14,11 +14,40 @@ from trailmark.operators.lineage import cut, scratch
 __all__ = ["cut", "pieces", "remove", "scratch", "split"]
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path of the shared folder through Hadoop's file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    p, fs = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all."""
+    p, fs = _file_system(spark, path)
+    draft, _ = _file_system(spark, f"{path}.part")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.rename(draft, p)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _file_system(spark, path)
+    file = fs.open(p)
+    try:
+        return bytes(file.readAllBytes()).decode()
+    finally:
+        file.close()
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:

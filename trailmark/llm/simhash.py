@@ -21,9 +21,7 @@ from pyspark.sql import types as T
 
 from trailmark.llm.components import components
 from trailmark.llm.runtime import cut, pieces, split
-from trailmark.llm.textops import U, Words, mix, slide
-
-ONES = U(0xFFFFFFFFFFFFFFFF)
+from trailmark.llm.textops import ONES, U, Words, mix, runs
 
 
 # ---------------------------------------------------------------- bit-sliced distances
@@ -259,13 +257,13 @@ def shingle_sets(col: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     w = Words(col, lower=True)
     h = w.hashes()
     k = np.minimum(shingle, w.counts)
-    runs = w.runs(h, shingle)
+    every = runs(h, shingle)
     whole = np.flatnonzero(w.whole(shingle))
-    doc, val = w.doc[whole], runs[whole]
+    doc, val = w.doc[whole], every[whole]
     for i in np.flatnonzero((w.counts > 0) & (w.counts < shingle)):  # a short text is one shingle
         own = Words(col.slice(int(i), 1), lower=True)
         doc = np.append(doc, i)
-        val = np.append(val, own.runs(own.hashes(), int(k[i])))
+        val = np.append(val, runs(own.hashes(), int(k[i])))
     order = np.lexsort((val, doc))
     doc, val = doc[order], val[order]
     fresh = np.ones(len(val), bool)

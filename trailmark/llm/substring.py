@@ -2,26 +2,27 @@
 
 A window is `window` words in a row of one text. Its fingerprint is the smallest hash of the GRAM-word
 grams in it, so equal windows have equal fingerprints, and neighbouring windows mostly share one: a
-text falls into segments of successive windows with one fingerprint. The index holds a row
-(fp, span, doc) per segment, span being an independent hash of all the segment's words. Each batch is
-written as one immutable run, sorted by fp, and never changed; runs are merge-joined with the next batch
-and compacted into one when there are `fanout` of them. Rows of one fingerprint are then verified: equal
-spans are whole repeats of the earliest document that has the span; of different spans, only the
-earliest document's windows are hashed one by one (128 bits with the fingerprint) and compared.
+text falls into segments of successive windows with one fingerprint. Each batch adds two immutable tables to the index: a run,
+sorted by (fp, span), that tells for each fingerprint and span (an independent hash of all the segment's words) the first
+document that has it; and a log of the segments with their windows' hashes. Runs are merge-joined with
+the next batch, and compacted into one when there are `fanout` of them; the log is never rewritten. Then matches are verified:
+equal spans are repeats as wholes; of a fingerprint's different spans, one document's windows each are read from
+the log and compared (128 bits with the fingerprint). Texts of earlier batches are never read again.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailmark.llm.runtime import cut, pieces, remove, scratch, split
-from trailmark.llm.textops import BASES, U, Words, mix, powers, slide
+from trailmark.llm.runtime import cut, listed, pieces, read_text, remove, scratch, split, write_text
+from trailmark.llm.textops import U, Words, runs, slide, spans
 
 WINDOW, GRAM = 50, 8
 
@@ -32,63 +33,89 @@ class Scan:
     def __init__(self, col: pa.Array, window: int, gram: int = GRAM):
         self.words = w = Words(col)
         gram = min(gram, window)
-        grams = w.runs(w.hashes(0), gram)
         self.start = np.flatnonzero(w.whole(window))
         self.doc = w.doc[self.start]
-        self.fp = slide(grams, window - gram + 1, np.minimum)[self.start]
-        tail = w.hashes(1)
-        self.hash = w.runs(tail, window, 1)[self.start]
+        self.fp = slide(runs(w.hashes(0), gram), window - gram + 1, np.minimum)[self.start]
+        other = w.hashes(1)
+        self.hash = runs(other, window)[self.start]
         new = np.ones(len(self.start), bool)
         new[1:] = (self.fp[1:] != self.fp[:-1]) | (np.diff(self.start) != 1)
         self.first = np.flatnonzero(new)
         self.segment = np.cumsum(new) - 1
-        lo = self.start[self.first]
-        hi = self.start[np.append(self.first[1:], len(self.start))[: len(self.first)] - 1] + window
-        up, down = powers(BASES[1] ^ 0x2F0B4F5A, len(tail) + 1)
-        total = np.zeros(len(tail) + 1, U)
-        np.cumsum(tail * up[: len(tail)], out=total[1:])
-        self.span = mix((total[hi] - total[lo]) * down[lo] + (hi - lo).astype(U) * U(0xA24BAED4963EE407))
+        self.bounds = np.append(self.first, len(self.start))
+        self.span = spans(other, self.start[self.first], self.start[self.bounds[1:] - 1] + window)
 
 
 def segments(docs: DataFrame, window: int) -> DataFrame:
-    """docs (doc long, text) -> (fp, span, doc), each once a document."""
+    """docs (doc long, text) -> (fp, span, doc, windows array<long>), each segment once a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
             s = Scan(b.column(1), window)
             if len(s.first):
                 ids = b.column(0).to_numpy(zero_copy_only=False)
-                rows = np.unique(np.stack([s.doc[s.first].astype(U), s.fp[s.first], s.span], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(rows[:, 1].view(np.int64)), pa.array(rows[:, 2].view(np.int64)), pa.array(ids[rows[:, 0].astype(np.int64)], pa.int64())], names=["fp", "span", "doc"])
+                rows = np.stack([s.doc[s.first].astype(U), s.fp[s.first], s.span], 1)
+                _, at = np.unique(rows, axis=0, return_index=True)
+                windows = pa.ListArray.from_arrays(pa.array(s.bounds, pa.int32()), pa.array(s.hash.view(np.int64))).take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([*(pa.array(rows[at, k].view(np.int64)) for k in (1, 2)), pa.array(ids[s.doc[s.first[at]]], pa.int64()), windows], names=["fp", "span", "doc", "windows"])
 
-    return docs.where("doc is not null and text is not null").mapInArrow(run, "fp long, span long, doc long")
+    return docs.where("doc is not null and text is not null").mapInArrow(run, f"{RUN}, windows array<long>")
+
+
+RUN = "fp long, span long, doc long"
 
 
 class FingerprintIndex:
-    """Sorted immutable runs of (fp, span, doc) in the shared folder."""
+    """Runs and logs in a folder that all executors see, and a manifest that tells which of them count.
+
+    Opening a folder again finds what earlier sessions left there. A new manifest has the next number and is written
+    after what it names, so a job that dies leaves the index as it was. One writer at a time.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None, fanout: int = 4):
         self.spark, self.fanout = spark, fanout
-        self.path = path or scratch(spark, "runs")
-        self.runs: list[str] = []
-        self.made = 0
-
-    def _write(self, rows: DataFrame) -> str:
+        self.path = path or scratch(spark, "index")
+        numbers = [int(n.removeprefix("manifest-")) for n in listed(spark, self.path) if n.startswith("manifest-") and n[9:].isdigit()]
+        self.number = max(numbers, default=0)
+        held = json.loads(read_text(spark, f"{self.path}/manifest-{self.number:05d}")) if numbers else {"runs": [], "logs": [], "made": 0}
+        self.runs: list[str] = held["runs"]
+        self.logs: list[str] = held["logs"]
+        self.made: int = held["made"]
+
+    def _commit(self, runs: list[str], logs: list[str]) -> None:
+        write_text(self.spark, f"{self.path}/manifest-{self.number + 1:05d}", json.dumps({"runs": runs, "logs": logs, "made": self.made}))
+        if self.number:
+            remove(self.spark, f"{self.path}/manifest-{self.number:05d}")
+        self.runs, self.logs, self.number = runs, logs, self.number + 1
+
+    def _write(self, kind: str, rows: DataFrame) -> str:
+        """A new table, in place of what a job that died may have left there."""
         self.made += 1
-        out = f"{self.path}/run-{self.made:05d}"
-        rows.repartition("fp", "span", "doc").sortWithinPartitions("fp", "span", "doc").write.option("compression", "zstd").parquet(out)
-        return out
+        name = f"{kind}-{self.made:05d}"
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{name}")
+        return name
+
+    def _read(self, names: list[str], more: str = "") -> DataFrame:
+        return self.spark.read.schema(RUN + more).parquet(*[f"{self.path}/{n}" for n in names])
 
-    def append(self, rows: DataFrame) -> DataFrame:
-        """Write a run; its rows."""
-        self.runs.append(self._write(rows))
-        return self._read(self.runs[-1])
+    def run(self, log: str) -> str:
+        """Write the run of a log: the first document of each (fp, span)."""
+        first = self.windows([log]).groupBy("fp", "span").agg(F.min("doc").alias("doc"))
+        return self._write("run", first.sortWithinPartitions("fp", "span"))
 
-    def _read(self, *paths: str) -> DataFrame:
-        return self.spark.read.schema("fp long, span long, doc long").parquet(*paths)
+    def append(self, rows: DataFrame) -> tuple[str, str]:
+        """Write a batch's segments; the names of its run and log. They count once `commit` has them."""
+        log = self._write("log", rows)
+        return self.run(log), log
+
+    def commit(self, run: str, log: str) -> None:
+        self._commit([*self.runs, run], [*self.logs, log])
 
     def history(self) -> DataFrame | None:
-        return self._read(*self.runs) if self.runs else None
+        return self._read(self.runs) if self.runs else None
+
+    def windows(self, logs: list[str]) -> DataFrame:
+        return self._read(logs, ", windows array<long>")
 
     def settle(self) -> None:
         """Compact if there are enough runs. Tables read from the index before must not be read after."""
@@ -96,67 +123,79 @@ class FingerprintIndex:
             self.compact()
 
     def compact(self) -> None:
-        """Merge all runs into one, then delete them."""
+        """Merge all runs into one, then delete them. The first document is the one in the earliest run, the smallest there."""
         old = self.runs
-        self.runs = [self._write(self.history().distinct())]
-        for p in old:
-            remove(self.spark, p)
+        each = [self._read([n]).withColumn("nth", F.lit(k)) for k, n in enumerate(old)]
+        merged = each[0]
+        for r in each[1:]:
+            merged = merged.union(r)
+        merged = merged.groupBy("fp", "span").agg(F.min(F.struct("nth", "doc")).alias("m")).select("fp", "span", "m.doc")
+        self._commit([self._write("run", merged.sortWithinPartitions("fp", "span"))], self.logs)
+        for n in old:
+            remove(self.spark, f"{self.path}/{n}")
 
     def drop(self) -> None:
         remove(self.spark, self.path)
-        self.runs = []
+        self.runs, self.logs = [], []
 
 
 def _merge(left: DataFrame, right: DataFrame, on: list[str], kind: str = "inner") -> DataFrame:
     return left.join(right.hint("merge"), on, kind)
 
 
+def _key(*cols: str) -> Column:
+    return F.xxhash64(*cols)
+
+
 #: Stands for any document of an earlier batch; smaller than every id of this one.
 PAST = -(1 << 63)
 
 
-def repeats(batch: DataFrame, index: FingerprintIndex, past: DataFrame | None, window: int = WINDOW) -> DataFrame:
-    """What of a batch repeats earlier documents, as doc, spans array<long>, windows array<long>.
+def repeats(batch: DataFrame, index: FingerprintIndex, window: int = WINDOW) -> DataFrame:
+    """What of a batch (doc, text) repeats earlier documents, as doc, spans array<long>, windows array<long>.
 
-    batch, past: (doc, text); past holds the texts of all documents in the index. Earlier is what the
-    index holds, and a smaller id within the batch, whose ids must be new. Its run is appended to the index.
+    Earlier is all that the index holds, whatever its ids, and a smaller id within the batch. The batch is then in the index.
     spans: segments that are repeats as wholes; windows: hashes of other windows that are.
     """
     index.settle()
-    old = index.history() if past is not None else None
-    new = index.append(segments(batch, window)).withColumn("who", F.col("doc"))
-    rows = new
+    old, old_logs = index.history(), list(index.logs)
+    run, log = index.append(segments(batch, window))
+    new, rows = index._read([run]), index._read([log])
+    if old is None:
+        known = new.select("fp", "span", "doc", F.lit(False).alias("past"))
+        met = known.select("fp", "span", F.lit(True).alias("fresh"))
+    else:
+        # Of the history only what may share a fingerprint with the batch is shuffled.
+        near = split(old, "fp", new, "fp")[0]
+        held = near.select("fp", "span", F.lit(True).alias("past"))
+        held = held.distinct() if len(index.runs) > 1 else held
+        known = _merge(new, held, ["fp", "span"], "left").select("fp", "span", "doc", F.coalesce("past", F.lit(False)).alias("past"))
+        met = known.select("fp", "span", (~F.col("past")).alias("fresh")).union(near.select("fp", "span", F.lit(False)))
+    known = cut(known)
+    # Fingerprints with different spans, one of them new at least.
+    mixed = cut(met.groupBy("fp").agg((F.min("span") != F.max("span")).alias("mixed"), F.max("fresh").alias("fresh")).where("mixed and fresh").select("fp"))
+    again = rows.groupBy("fp", "span").agg(F.max("doc").alias("last"))
+    again = cut(_merge(known, again, ["fp", "span"]).where("past or last > doc").select("fp", "span", "doc", "past"))
+    some = split(rows.withColumn("key", _key("fp", "span")), "key", again.select(_key("fp", "span").alias("key")), "key")[0]
+    whole = _merge(some.select("fp", "span", F.col("doc").alias("who")), again, ["fp", "span"]).where("past or who > doc").select(F.col("who").alias("doc"), "span")
+    # One document of each such span, the first, shows its windows.
+    windows = _shown(index.windows([log]), known.where("not past").select("fp", "span", "doc"), mixed).select("fp", "hash", "doc", F.col("doc").alias("who"))
     if old is not None:
-        fresh = new.select("fp").distinct()
-        old = _merge(old, fresh, ["fp"], "left_semi").withColumn("who", F.lit(PAST).cast("long"))
-        rows = new.union(old)
-    # Fingerprints with more than one row; "mixed" if their spans differ.
-    met = cut(rows.groupBy("fp").agg(F.count("*").alias("n"), (F.min("span") != F.max("span")).alias("mixed")).where("n > 1").select("fp", "mixed"))
-    rows = cut(_merge(rows, met, ["fp"]).select("fp", "span", "doc", "who", "mixed"))
-    classes = cut(rows.groupBy("fp", "span").agg(F.min(F.struct("who", "doc")).alias("own")).select("fp", "span", F.col("own.who").alias("own_who"), F.col("own.doc").alias("own_doc")))
-    marked = _merge(rows, classes, ["fp", "span"])
-    whole = marked.where("who > own_who").select("doc", "span")
-    # One document of each span, the earliest, shows its windows.
-    shown = cut(marked.where("mixed and who = own_who and doc = own_doc").groupBy("doc").agg(F.collect_set("span").alias("spans"), F.first("who").alias("who")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, "text"):
-            s = Scan(b.column(3), window)
-            if not len(s.first):
-                continue
-            wanted = _marked(s, b.column(1))
-            at = np.flatnonzero(wanted[s.segment])
-            if len(at):
-                ids, who = (b.column(i).to_numpy(zero_copy_only=False)[s.doc[at]] for i in (0, 2))
-                yield pa.RecordBatch.from_arrays([pa.array(s.fp[at].view(np.int64)), pa.array(s.hash[at].view(np.int64)), pa.array(ids, pa.int64()), pa.array(who, pa.int64())], names=["fp", "hash", "doc", "who"])
-
-    texts = batch if past is None else batch.union(past)
-    windows = split(texts, "doc", shown, "doc")[0].join(shown, "doc").select("doc", "spans", "who", "text").mapInArrow(run, "fp long, hash long, doc long, who long")
+        windows = windows.union(_shown(index.windows(old_logs), near.select("fp", "span", "doc"), mixed).select("fp", "hash", "doc", F.lit(PAST).cast("long").alias("who")))
     windows = cut(windows)
     first = cut(windows.groupBy("fp", "hash").agg(F.min("who").alias("own"), F.max("who").alias("last")).where("own < last").select("fp", "hash", "own"))
     single = _merge(windows, first, ["fp", "hash"]).where("who > own").select("doc", "hash")
     found = whole.select("doc", "span", F.lit(None).cast("long").alias("hash")).union(single.select("doc", F.lit(None).cast("long").alias("span"), "hash"))
-    return cut(found.groupBy("doc").agg(F.collect_set("span").alias("spans"), F.collect_set("hash").alias("windows")))
+    found = cut(found.groupBy("doc").agg(F.collect_set("span").alias("spans"), F.collect_set("hash").alias("windows")))
+    index.commit(run, log)
+    return found
+
+
+def _shown(log: DataFrame, firsts: DataFrame, mixed: DataFrame) -> DataFrame:
+    """(fp, hash, doc): the windows of firsts (fp, span, doc) whose fingerprint is in mixed, from a log."""
+    wanted = cut(_merge(firsts, mixed, ["fp"], "left_semi"))
+    some = split(log.withColumn("key", _key("fp", "span", "doc")), "key", wanted.select(_key("fp", "span", "doc").alias("key")), "key")[0]
+    return some.join(wanted.hint("merge"), ["fp", "span", "doc"], "left_semi").select("fp", "doc", F.explode("windows").alias("hash"))
 
 
 def _marked(s: Scan, spans: pa.Array) -> np.ndarray:
@@ -234,24 +273,26 @@ def _cut_out(data: bytes, lo: int, hi: int, gone: np.ndarray, starts: list[int],
     return b"".join(out).decode()
 
 
-def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, batches: int = 2, layout: bool = True, index: FingerprintIndex | None = None) -> DataFrame:
+def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, batches: int = 3, layout: bool = True, index: FingerprintIndex | None = None) -> DataFrame:
     """docs with the repeated passages of text removed, and n_words and n_removed (longs) for each row.
 
     A word goes if a window of `window` words that covers it also starts in a document with a smaller
     id; windows are judged on the input. The rows are taken as `batches` batches by ascending id, each
-    against the runs of those before; the result doesn't depend on their number. With layout the rest of
+    against the index of those before; the result doesn't depend on their number. All that a given index holds from earlier
+    calls counts as earlier too, whatever its ids: calls by ascending id give what one call over all rows would.
+    Without one an index of its own is dropped at the end. With layout the rest of
     a text keeps its white space, without it the kept words are joined by one space.
     Texts under `window` words, nulls (which stay null with layout, and else become empty) and rows
-    without id lose nothing and take nothing. Rows that repeat an id are judged each by itself, never
+    without id lose nothing and take nothing. Rows of one call that repeat an id are judged each by itself, never
     against each other. Columns called n_words and n_removed are replaced; others stay.
     """
     spark = docs.sparkSession
-    own = index or FingerprintIndex(spark)
+    own = index or FingerprintIndex(spark, fanout=2)
     rest = [c for c in docs.columns if c not in (text, "n_words", "n_removed")]
     bounds = docs.where(F.col(doc_id).isNotNull()).approxQuantile(doc_id, [i / batches for i in range(1, batches)], 0.001) if batches > 1 else []
     bounds = sorted({int(x) for x in bounds})
     key = F.col(doc_id).cast("long")
-    out, past, low = None, None, None
+    out, low = None, None
     for high in [*bounds, None]:
         inside = F.lit(True)
         if low is not None:
@@ -261,12 +302,10 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         if low is None:
             inside |= key.isNull()
         part = docs.where(inside)
-        found = repeats(part.select(key.alias("doc"), F.col(text).alias("text")), own, past, window)
+        found = repeats(part.select(key.alias("doc"), F.col(text).alias("text")), own, window)
         done = _apply(part.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__row"), key.alias("__doc"), F.col(text).alias("__text")), found, window, layout)
         out = done if out is None else out.union(done)
         low = high
-        if high is not None:
-            past = docs.where(key <= high).select(key.alias("doc"), F.col(text).alias("text"))
     if index is None:
         own.drop()
     cols = [(F.col("__text") if c == text else F.col(f"__row.`{c}`")).alias(c) for c in docs.columns if c not in ("n_words", "n_removed")]

@@ -1,41 +1,30 @@
 """Words and their hashes for whole Arrow batches, in numpy.
 
 A word is a longest run of bytes other than space, tab, line feed, vertical tab, form feed and
-carriage return. A word's hash is a polynomial over its bytes modulo 2**64, mixed with its length.
+carriage return. Hashes are chains: each eight bytes, and each half of a run of words, are mixed in by a
+function that isn't linear, so that no pattern of bytes or words makes different texts collide.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+ONES = U(0xFFFFFFFFFFFFFFFF)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 CLOSING = np.zeros(256, bool)
 CLOSING[list(b".,;:!?\"')]}")] = True
 
-#: Odd bases of the two independent lanes.
-BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**k and base**-k modulo 2**64 for k below n at least; kept up to a million."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        out = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            a = np.full(size, b, U)
-            a[0] = 1
-            out.append(np.multiply.accumulate(a))
-        have = tuple(out)
-        if size <= 1 << 20:
-            _powers[base] = have
-    return have
+#: Seeds of the two independent lanes, and multipliers of what is mixed in.
+SEEDS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_LEFT, _RIGHT = U(0x9FB21C651E98DF25), U(0xA24BAED4963EE407)
+#: Words of more bytes than this are hashed one by one by XXH3.
+LONG = 256
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -48,6 +37,32 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """A 64-bit hash of data[start:end] for each pair, eight bytes at a time."""
+    size = ends - starts
+    h = mix(size.astype(U) * _RIGHT + U(seed & 0xFFFFFFFFFFFFFFFF))
+    if not len(h):
+        return h
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    live = np.flatnonzero((size > 0) & (size <= LONG))
+    at = 0
+    while len(live):
+        left = size[live] - at
+        chunk = eight[starts[live] + at] & np.where(left >= 8, ONES, (U(1) << (U(8) * np.minimum(left, 7).astype(U))) - U(1))
+        h[live] = mix((h[live] ^ chunk) * _LEFT + _RIGHT)
+        at += 8
+        live = live[left > 8]
+    for i in np.flatnonzero(size > LONG).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes(), int(h[i]))
+    return h
+
+
+def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of each pair of hashes, in order."""
+    return mix(a * _LEFT + mix(b + _RIGHT))
+
+
 def raw(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column's values one after another, and their n+1 bounds; null: empty."""
     if pa.types.is_dictionary(col.type):
@@ -89,10 +104,7 @@ class Words:
 
     def hashes(self, lane: int = 0) -> np.ndarray:
         """A 64-bit hash of each word."""
-        up, down = powers(BASES[lane], len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, U)
-        np.cumsum((self.data.astype(U) + U(1)) * up[: len(self.data)], out=total[1:])
-        return mix((total[self.ends] - total[self.starts]) * down[self.starts] + (self.ends - self.starts).astype(U) * U(0xA24BAED4963EE407))
+        return hash_ranges(self.data, self.starts, self.ends, SEEDS[lane])
 
     def bare(self) -> np.ndarray:
         """Ends of the words without up to three closing punctuation marks; of each word one byte stays."""
@@ -103,20 +115,7 @@ class Words:
 
     def bare_hashes(self) -> np.ndarray:
         """A 64-bit hash of each word without closing punctuation."""
-        whole, self.ends = self.ends, self.bare()
-        h = self.hashes()
-        self.ends = whole
-        return h
-
-    def runs(self, h: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
-        """A hash of each k words in a row, by the first; those that cross a document's end too."""
-        n = len(h)
-        if n < k:
-            return np.zeros(0, U)
-        up, down = powers(BASES[1 - lane] ^ 0x5DEECE66C, n + 1)
-        total = np.zeros(n + 1, U)
-        np.cumsum(h * up[:n], out=total[1:])
-        return mix((total[k:] - total[:-k]) * down[: n - k + 1] + U(k))
+        return hash_ranges(self.data, self.starts, self.bare(), SEEDS[0])
 
     def whole(self, k: int) -> np.ndarray:
         """Whether the k words from each word on are of one document."""
@@ -138,6 +137,34 @@ class Words:
         return out.tobytes(), new, new + sizes
 
 
+def runs(h: np.ndarray, k: int) -> np.ndarray:
+    """A hash of each k hashes in a row, by the first; of words, those that cross a document's end too."""
+    n = len(h) - k + 1
+    if n <= 0:
+        return h[:0]
+    out, at, width, have = np.full(n, U(k)), 0, 1, h
+    while k >> (width.bit_length() - 1):
+        if k & width:
+            out = combine(out, have[at : at + n])
+            at += width
+        if k < 2 * width:
+            break
+        have, width = combine(have[:-width], have[width:]), 2 * width
+    return out
+
+
+def spans(h: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """A hash of h[lo:hi] for each pair, none empty: of its length and of the two longest runs of a power of two that begin and end it."""
+    size = hi - lo
+    out = size.astype(U)
+    have, width = h, 1
+    while len(size) and width <= size.max():
+        now = np.flatnonzero((size >= width) & (size < 2 * width))
+        out[now] = combine(combine(out[now], have[lo[now]]), have[hi[now] - width])
+        have, width = combine(have[:-width], have[width:]) if len(have) > width else have[:0], 2 * width
+    return out
+
+
 def slide(a: np.ndarray, k: int, op: np.ufunc) -> np.ndarray:
     """op (minimum or maximum) over each k in a row, by the first."""
     if len(a) < k:

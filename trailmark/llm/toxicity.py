@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from trailmark.llm.labelled import fold, training_rows
 from trailmark.llm.runtime import pieces
-from trailmark.llm.textops import BASES, U, Words, mix, powers
+from trailmark.llm.textops import U, Words, hash_ranges
 
 BITS, FACTORS, SAMPLE, LEAST, EPOCHS = 18, 6, 20_000, 3.0, 12
 #: Standard errors by which a pair's texts differ from what its two terms let expect; more than for terms, as there are so many more pairs.
@@ -35,16 +35,13 @@ def terms(col: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     w = Words(col, lower=True)
     if not len(w):
         return np.zeros(0, np.int64), np.zeros(len(col) + 1, np.int64)
-    up, down = powers(BASES[0], len(w.data) + 1)
-    total = np.zeros(len(w.data) + 1, U)
-    np.cumsum((w.data.astype(U) + U(1)) * up[: len(w.data)], out=total[1:])
     ends = w.bare()
-    got = [((total[ends] - total[w.starts]) * down[w.starts] + (ends - w.starts).astype(U) * U(0xA24BAED4963EE407), w.doc)]
+    got = [(hash_ranges(w.data, w.starts, ends, 1), w.doc)]
     for k in (4, 5):
         long = ends - w.starts > k
         s = w.starts[long]
-        got.append(((total[s + k] - total[s]) * down[s] + U(0x9FB21C651E98DF25 + k), w.doc[long]))
-    h = mix(np.concatenate([g for g, _ in got])) >> U(64 - bits)
+        got.append((hash_ranges(w.data, s, s + k, k), w.doc[long]))
+    h = np.concatenate([g for g, _ in got]) >> U(64 - bits)
     key = np.unique(np.concatenate([d for _, d in got]).astype(np.int64) << bits | h.astype(np.int64))
     return key & ((1 << bits) - 1), np.searchsorted(key >> bits, np.arange(len(col) + 1))
 
