@@ -90,3 +90,47 @@ def test_copies_without_article_markup_keep_their_text(spark):
     got = [(r["page_id"], r["text"]) for r in extract(df).collect()]
     want = [0] * 4 + [1] * 3 + [2] * 4 + [max(3, k) for k in range(8)]
     assert sorted(got) == sorted((r[0], f"The whole story {n} and its end {n}") for r, n in zip(rows, want))
+
+
+def bare(source):
+    """A page without what the lists go by: semantic elements become div, classes, ids and roles go."""
+    return re.sub(r' (class|id|role)="[^"]*"', "", re.sub(r"(</?)(nav|footer|article|header|aside|main|section)\b", r"\1div", source))
+
+
+def test_template_alone_finds_the_articles_of_the_tables(spark):
+    """On hosts of SUPPORT pages or more, whichever way the template reaches the pages."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()
+    host = {r["page_id"]: re.sub(r"\w+://([^/?#:]*).*", r"\1", r["url"], flags=re.S).lower() for r in pages}
+    df = spark.createDataFrame([(r["page_id"], r["url"], bare(r["html"])) for r in pages], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extract(df).collect()}
+    assert got == {r["page_id"]: r["text"] for r in extract(df, broadcast=0).collect()}
+    many = [r for r in pages if sum(h == host[r["page_id"]] for h in host.values()) >= 3]
+    right = 0
+    for r in many:
+        body = re.sub(r"</?b>", "", re.search(r"<article>(.*?)</article>", r["html"], re.S)[1])
+        parts = [" ".join(html.unescape(x).split()) for x in re.split(r"<[^>]+>", body)]
+        right += got[r["page_id"]] == " ".join(x for x in parts if x)
+    assert len(many) == 222 and right == 222
+
+
+def test_slot_without_marks(spark):
+    """Headings just before the slot belong to it; pages that lack the slot are searched for their own."""
+    rows = []
+    for k in range(9):
+        body = "".join(f"<p>story{k} sentence {j} goes on and on.</p>" for j in range(8))
+        notice = "<div>We use many small files to remember you, as everyone does these days.</div>" if k % 3 else ""
+        rows.append((k, f"http://h.example/{k}", f"<body><div><a href=x>Home</a></div>{notice}<div><h1>Title {k}</h1><div>{body}</div></div><div>Contact us</div></body>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extract(df).collect()}
+    assert got == {k: f"Title {k} " + " ".join(f"story{k} sentence {j} goes on and on." for j in range(8)) for k in range(9)}
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    began = time.time()
+    assert text("<div>" * 100_000 + "deep") == "deep"
+    assert text("<p>" + "<x>" * 50_000 + "<hr>a" * 50_000).count("a") == 50_000
+    assert text("<ul><li>" + "<b>" * 50_000 + "<li>b" * 50_000).count("b") == 50_000
+    assert text("<div><p>c<x><b>" * 30_000).count("c") == 30_000
+    assert time.time() - began < 20
