@@ -100,7 +100,8 @@ def test_walk_of_every_kind(spark, archive, built):
     assert got["dup"]["cnt_swhid"] == low
     assert all((r["status"] == "ok") == (r["cnt_swhid"] != "") == (r["qualified"] != "") for r in got.values())
     assert got["./src\\main.c"]["qualified"].endswith(";path=/src/main.c") and got["src/main.c"]["snapshot_swhid"] == ""
-    assert {tuple(r) for r in resolve(rows, archive, prune=True).collect()} == {tuple(r) for r in resolve(rows, archive).collect()}
+    by = [{tuple(r) for r in resolve(rows, archive, pruning=p).collect()} for p in ("none", "names", "visited")]
+    assert by[0] == by[1] == by[2]
 
 
 def won(spark, archive, asked, nibbles=7):
@@ -169,7 +170,8 @@ def test_pruning_tables(spark, archive, built):
     assert full == pruned
 
 
-def test_closure_of_random_graphs(spark):
+@pytest.mark.parametrize("patience", [24, 2, 0])
+def test_closure_of_random_graphs(spark, patience):
     for seed in (1, 2):
         rng = random.Random(seed)
         edges = [(k, k + 1) for k in range(60)] + [(rng.randrange(100), rng.randrange(100)) for _ in range(70)]
@@ -182,11 +184,85 @@ def test_closure_of_random_graphs(spark):
                 if (key, n) not in want:
                     want.add((key, n))
                     todo += [b for a, b in edges if a == n]
-        got = closure(spark.createDataFrame(starts, "key long, node long"), spark.createDataFrame(edges, "src long, dst long"), ("key",))
+        got = closure(spark.createDataFrame(starts, "key long, node long"), spark.createDataFrame(edges, "src long, dst long"), ("key",), patience=patience)
         rows = [tuple(r) for r in got.select("key", "node").collect()]
         assert len(rows) == len(set(rows)) and set(rows) == want
 
 
+def test_closure_writes_what_the_starts_reach(spark, monkeypatch):
+    from trailmark.operators import closure as module
+
+    written, plain = [], module.cut
+
+    def counted(df):
+        out = plain(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "cut", counted)
+    edges = [(k, k + 1) for k in range(12)] + [(1000 + k, 1001 + k) for k in range(5000)]
+    got = closure(spark.createDataFrame([(0,)], "node long"), spark.createDataFrame(edges, "src long, dst long"))
+    assert got.count() == 13 and sum(written) <= 3 * 13
+
+
+def test_closure_ends_early_once_all_that_is_wanted_is_reached(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(200)], "src long, dst long")
+    starts = spark.createDataFrame([(1, 0), (2, 5), (3, 190)], "key long, node long")
+    wanted = spark.createDataFrame([(1, 3), (2, 5), (3, 7)], "key long, node long")
+    rows = {tuple(r) for r in closure(starts, edges, ("key",), wanted).select("key", "node").collect()}
+    assert {(1, 3), (2, 5)} <= rows and (3, 7) not in rows and (3, 200) in rows
+    assert sum(k == 1 for k, _ in rows) <= 6 and sum(k == 2 for k, _ in rows) <= 2
+    assert closure(starts, edges, ("key",), wanted.limit(0)).count() == 3
+
+
+def test_whole_hashes_end_provenance_early_with_the_same_winners(spark, archive):
+    rows = A.as_requests(requests(spark, [("o/a", R[k], "src") for k in ("one", "two", "orphan", "deep", "tagged")]))
+    early, whole = (sorted(tuple(r) for r in C.passing_candidates(rows, archive, proved=p).select("commit_id", "rev").collect()) for p in (None, C.provenance(archive)))
+    assert early == whole and len(early) == 4
+
+
+def test_command_line(spark, archive, tmp_path, capsys):
+    from trailmark.plans.cli import main
+
+    A.write_archive(archive, str(tmp_path / "graph"))
+    rows = requests(spark, [("o/a", R["one"][:7], p) for p in ("src/main.c", "docs/README.md", "src")] + [("o/missing", "1111111", "x"), ("o/a", "bbbbbbb", "x")])
+    rows.write.parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    assert main(["resolve", "--graph-dir", str(tmp_path / "graph"), "--input", str(tmp_path / "in"), "--cands-out", str(tmp_path / "cands"), "--out-dir", out]) == 0
+    said = capsys.readouterr().out
+    assert "'resolved': 1" in said and "'no_origin': 1" in said and "'no_provenance': 1" in said
+    assert "'n_rows': 3" in said and "'ok': 2" in said and "'path_not_found': 1" in said
+    assert main(["verify", "--graph-dir", str(tmp_path / "graph"), "--resolved", out]) == 0
+    wrong = A.read_resolved(spark, out).withColumn("cnt_swhid", F.when(F.col("rel_path") == "src/main.c", F.lit("swh:1:cnt:0")).otherwise(F.col("cnt_swhid")))
+    wrong.write.parquet(str(tmp_path / "wrong"))
+    capsys.readouterr()
+    assert main(["verify", "--graph-dir", str(tmp_path / "graph"), "--resolved", str(tmp_path / "wrong"), "--n", "5"]) == 1
+    said = capsys.readouterr().out
+    assert "'mismatched': 1" in said and "swh:1:cnt:0" in said and "src/main.c" in said
+
+
+def test_settings_are_left_as_they_were(spark, archive, built):
+    from trailmark.plans.resolve import LIMITS, direct_walk
+
+    before = {k: spark.conf.get(k, None) for k in LIMITS}
+    direct_walk(spark.createDataFrame([(R["one"], "src/main.c")], "rev_swhid string, rel_path string"), archive)
+    assert {k: spark.conf.get(k, None) for k in LIMITS} == before
+    assert not [v for v in spark.catalog.listTables() if v.name.startswith("_trailmark")]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from trailmark.operators.lineage import shared_dir
+
+    def session(master, folder=None):
+        return SimpleNamespace(sparkContext=SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda k, d: folder or d)))
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session("spark://host:7077"))
+    assert shared_dir(session("yarn", "hdfs://x/y")) == "hdfs://x/y"
+
+
 def test_files_verify_and_stream(spark, archive, tmp_path):
     A.write_archive(archive, str(tmp_path / "graph"))
     rows = requests(spark, [("o/a", R["one"][:7], p, b) for p, b in (("src/main.c", "48"), ("docs/README.md", "x"), ("src", "50"), ("dup", "50"))])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trailmark.functions.scalars import all_full_hashes, canonical_url, commit_key, hash_prefix, origin_swhid, revision_swhid
 from trailmark.operators.closure import closure
+from trailmark.operators.lineage import cut
 from trailmark.sources.archive import Archive
 
 GROUP = ["repo", "commit_id"]
@@ -58,15 +59,19 @@ def revision_graph(archive: Archive) -> DataFrame:
     kinds = archive.edges.where("dst_type not in ('cnt', 'dir') and src_type not in ('ori', 'dir')").select("src", "dst")
     down = archive.edges.where("dst_type = 'dir'").select("src", "dst").join(useful, F.col("dst") == F.col("node"), "left_semi")
     links = archive.links("dir", "rev")
-    return kinds.union(down).union(links).distinct()
+    return kinds.union(down).union(links)
 
 
-def provenance(archive: Archive, origins: DataFrame | None = None) -> DataFrame:
-    """(origin, rev): revisions that a snapshot of the origin leads to, along edges of every type."""
+def provenance(archive: Archive, origins: DataFrame | None = None, wanted: DataFrame | None = None) -> DataFrame:
+    """(origin, rev): revisions that a snapshot of the origin leads to, along edges of every type.
+
+    With wanted (origin, rev) an origin is followed only until these are found; of others some may be missing then.
+    """
     snaps = origin_snapshots(archive)
     if origins is not None:
         snaps = snaps.join(origins.select("origin").distinct(), "origin", "left_semi")
-    reached = closure(snaps.select("origin", F.col("snapshot").alias("node")), revision_graph(archive), ("origin",))
+    goal = None if wanted is None else cut(wanted.select("origin", F.col("rev").alias("node")).distinct())
+    reached = closure(snaps.select("origin", F.col("snapshot").alias("node")), revision_graph(archive), ("origin",), goal)
     revs = archive.of_type("rev").select(F.col("node_id").alias("node"))
     return reached.join(revs, "node", "left_semi").select("origin", F.col("node").alias("rev"))
 
@@ -97,8 +102,12 @@ def passing_candidates(requests: DataFrame, archive: Archive, nibbles: int = 7,
     """Candidates that their origin's snapshots lead to."""
     full = is_full_hash_mode(requests) if full is None else full
     g = with_origin(groups(requests), archive)
-    proved = provenance(archive, g) if proved is None else proved
-    return candidates(g, archive, nibbles, full).join(proved, ["origin", "rev"], "left_semi")
+    found = candidates(g, archive, nibbles, full)
+    if proved is None:
+        # A whole hash has one candidate, so an origin may be done early; a prefix has candidates of other origins, which are never reached.
+        found = cut(found)
+        proved = provenance(archive, g, found if full else None)
+    return found.join(proved, ["origin", "rev"], "left_semi")
 
 
 def select_winners(requests: DataFrame, archive: Archive, nibbles: int = 7, proved: DataFrame | None = None) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from trailmark.operators.lineage import cut
 
 ROUNDS = 100_000
+#: Rounds of single steps before long stretches are looked for.
+PATIENCE = 24
 
 
 def _jumps(single: DataFrame) -> list[DataFrame]:
@@ -25,34 +27,55 @@ def _jumps(single: DataFrame) -> list[DataFrame]:
     return [j for j in out if not j.isEmpty()]
 
 
-def closure(starts: DataFrame, edges: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+def closure(starts: DataFrame, edges: DataFrame, keys: tuple[str, ...] = (), wanted: DataFrame | None = None, patience: int = PATIENCE) -> DataFrame:
     """All (keys, node) that starts (keys, node) reach along edges (src, dst), starts included.
 
-    Stretches of nodes with one way on, such as linear histories, are run down by doubled jumps, in log2 of
-    their length joins; each round then takes one step where ways part. Nodes reached before aren't
-    followed again, so cycles and diamonds end.
+    The first `patience` rounds go one step from what the round before reached, and write nothing else. If the frontier still lives
+    then, there are long stretches of nodes with one way on, such as linear histories: these are run down by doubled jumps, in log2 of
+    their length joins, and each round then takes one step where ways part; the jumps' tables hold a row per node with one way on. Nodes
+    reached before aren't followed again, so cycles and diamonds end. With wanted (keys, node) a key is followed only
+    until all that it wants is reached; what is wanted and reachable is in the result then, other nodes may not be.
     """
-    edges = edges.distinct()
-    ways = edges.groupBy("src").agg(F.count("*").alias("ways"))
-    single = edges.join(ways.where("ways = 1"), "src", "left_semi")
-    jumps = _jumps(single)
-    parting = cut(edges.join(ways.where("ways > 1"), "src", "left_semi"))
+    if wanted is not None and not keys:
+        raise ValueError("wanted needs keys")
     cols = [*keys, "node"]
+    parts = [cut(starts.select(*cols).distinct())]
+    parting = edges
+    jumps: list[DataFrame] = []
 
     def run_down(rows: DataFrame) -> DataFrame:
         for j in reversed(jumps):
             step = j.select(F.col("src").alias("node"), F.col("dst").alias("_to"))
             rows = rows.join(step, "node", "left").select(*keys, F.explode(F.array_compact(F.array("node", "_to"))).alias("node"))
-        return rows.distinct()
+        return rows.distinct() if jumps else rows
 
-    parts = [cut(run_down(starts.select(*cols).distinct()))]
-    for _ in range(ROUNDS):
-        step = parts[-1].join(parting, F.col("node") == F.col("src")).select(*keys, F.col("dst").alias("node")).distinct()
-        seen = reduce(DataFrame.union, parts)
-        fresh = run_down(step.join(seen, cols, "left_anti")).join(seen, cols, "left_anti")
+    def seen() -> DataFrame:
+        return reduce(DataFrame.union, parts)
+
+    def followed(rows: DataFrame) -> DataFrame:
+        if wanted is None:
+            return rows
+        missing = wanted.select(*cols).join(seen(), cols, "left_anti").select(*keys).distinct()
+        return rows.join(missing, list(keys), "left_semi")
+
+    for n in range(ROUNDS):
+        if n == patience:
+            # From here on the last part is all that has to be followed.
+            ways = edges.distinct().groupBy("src").agg(F.count("*").alias("ways"), F.min("dst").alias("dst"))
+            ways = cut(ways)
+            jumps = _jumps(ways.where("ways = 1").select("src", "dst"))
+            parting = edges.join(ways.where("ways > 1"), "src", "left_semi").select("src", "dst")
+            last = parts.pop()
+            before = reduce(DataFrame.union, parts) if parts else None
+            down = run_down(last)
+            parts.append(cut(down.join(before, cols, "left_anti") if before is not None else down))
+        step = followed(parts[-1]).join(parting, F.col("node") == F.col("src")).select(*keys, F.col("dst").alias("node")).distinct()
+        fresh = step.join(seen(), cols, "left_anti")
+        if jumps:
+            fresh = run_down(fresh).join(seen(), cols, "left_anti")
         fresh = cut(fresh)
         if fresh.isEmpty():
-            return seen
+            return seen()
         parts.append(fresh)
         if len(parts) > 8:  # parts hold no row in common
             parts = [cut(reduce(DataFrame.union, parts[:-1])), fresh]

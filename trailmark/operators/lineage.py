@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,14 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; one of our own only where it is unset."""
+    """The folder that spark.checkpoint.dir names. Only a local master, whose executors are this process, may leave it unset: a folder of our own, gone at exit."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = getattr(sc, "_trailmark_dir", None)
     if own is None:
         own = sc._trailmark_dir = tempfile.mkdtemp(prefix="trailmark-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
     return own
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from trailmark.functions.scalars import output_status, path_components, qualified_id, revision_swhid
 from trailmark.operators.candidates import root_dirs
-from trailmark.operators.closure import reachable_dirs
+from trailmark.operators.closure import closure, reachable_dirs
 from trailmark.operators.lineage import cut
-from trailmark.sources.archive import Archive
+from trailmark.operators.membership import split
+from trailmark.sources.archive import Archive, first_entries
 
 OK, NOT_FOUND, DIR_TARGET, SUBMODULE, NO_ROOT = "ok", "not_found", "dir_target", "submodule", "no_root"
 
@@ -35,17 +36,43 @@ def matched_components(rows: DataFrame, archive: Archive) -> DataFrame:
     return names.join(have, "name", "left").select("name", F.coalesce("known", F.lit(False)).alias("known"))
 
 
-def first_entries(entries: DataFrame) -> DataFrame:
-    """One entry per (dir, name): the smallest child."""
-    first = entries.groupBy("dir", "name").agg(F.min(F.struct("child", "child_type")).alias("e"))
-    return first.select("dir", "name", "e.child", "e.child_type")
+def entries_of(archive: Archive, entries: DataFrame | None = None) -> DataFrame:
+    """One entry per (dir, name), of all or of some entries of the archive."""
+    entries = archive.entries if entries is None else entries
+    return entries if archive.unique else first_entries(entries)
+
+
+def named_entries(rows: DataFrame, archive: Archive) -> DataFrame:
+    """The archive's entries that may have a name among the components of rows' rel_path: all that do, and a few others.
+
+    A bitmap of the names rules entries out as they are read, so that what is left is all that is ever shuffled.
+    """
+    return split(archive.entries, "name", cut(components(rows)), "name")[0]
+
+
+def prune(rows: DataFrame, archive: Archive) -> DataFrame:
+    """The entries that walks of rows can look up by name, one per (dir, name), dealt by both and written once."""
+    kept = entries_of(archive, named_entries(rows, archive)).select("dir", "name", "child", "child_type")
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(kept.repartition(n, "dir", "name"))
+
+
+def visited_entries(rows: DataFrame, archive: Archive) -> DataFrame:
+    """The entries that walks of rows (root, rel_path) can come by: named by one of their components, in a directory that
+    such names lead to from one of their roots. Only these directories are followed, not all that lie below the roots.
+    """
+    named = prune(rows, archive)
+    starts = rows.where("root is not null").select(F.col("root").alias("node"))
+    dirs = closure(starts, named.where("child_type = 'dir'").select(F.col("dir").alias("src"), F.col("child").alias("dst")))
+    return named.join(dirs.select(F.col("node").alias("dir")), "dir", "left_semi")
 
 
 def hydrated_entries(rows: DataFrame, archive: Archive) -> DataFrame:
-    """The entries that walks of rows (root, rel_path) can visit: below their roots, and named by one of their components."""
+    """The entries below the roots of rows (root, rel_path), however deep, that are named by one of their components."""
     dirs = reachable_dirs(rows.select("root").distinct(), archive)
-    kept = archive.entries.join(dirs, "dir", "left_semi").join(components(rows), "name", "left_semi")
-    return first_entries(kept.select("dir", "name", "child", "child_type"))
+    names = cut(components(rows))
+    kept = split(archive.entries, "name", names, "name")[0].join(dirs, "dir", "left_semi").join(names, "name", "left_semi")
+    return entries_of(archive, kept.select("dir", "name", "child", "child_type"))
 
 
 def _step(last: Column) -> tuple[Column, Column]:
@@ -57,12 +84,11 @@ def _step(last: Column) -> tuple[Column, Column]:
 
 
 def walk(pairs: DataFrame, entries: DataFrame) -> DataFrame:
-    """(root, rel_path) -> distinct root, rel_path, leaf, status_detail.
+    """(root, rel_path) -> distinct root, rel_path, leaf, status_detail; entries has a row per (dir, name).
 
     Each round looks up one more component of the paths still on their way, and finished ones are set
     aside, so that a round shuffles only what it has to and names like README.md meet their directory.
     """
-    entries = first_entries(entries)
     rows = pairs.select("root", "rel_path").distinct().withColumn("comps", path_components("rel_path"))
     status = F.when(F.col("root").isNull(), NO_ROOT).when(F.size("comps") == 0, NOT_FOUND)
     rows = cut(rows.select("root", "rel_path", "comps", F.col("root").alias("cur"), F.lit(None).cast("long").alias("leaf"), status.alias("status_detail")))

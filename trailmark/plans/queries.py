@@ -149,7 +149,8 @@ def hydrated_entries(spark, d):
 
 
 def path_walk(spark, d):
-    return P.walk(_cands(spark, d), archive_for(spark, d).entries).withColumn("leaf", F.coalesce("leaf", F.lit(0)))
+    c, a = _cands(spark, d), archive_for(spark, d)
+    return P.walk(c, P.prune(c, a)).withColumn("leaf", F.coalesce("leaf", F.lit(0)))
 
 
 def direct(spark, d):
@@ -161,7 +162,7 @@ def resolved(spark, d):
 
 
 def resolved_pruned(spark, d):
-    return resolve_candidates(_cands(spark, d), archive_for(spark, d), prune=True)
+    return resolve_candidates(_cands(spark, d), archive_for(spark, d), pruning="visited")
 
 
 def resolved_full_hash(spark, d):
@@ -187,7 +188,7 @@ def dropped_groups(spark, d):
 
 
 def verify_counts(spark, d):
-    return verify(archive_for(spark, d), _resolved(spark, d), 2000)
+    return verify(archive_for(spark, d), _resolved(spark, d), None)
 
 
 QUERIES: dict[str, Query] = {
@@ -289,6 +290,18 @@ _WON = "SELECT repo, commit_id, origin_url, rev_swhid, root, n_passing, head::BI
 _BELOW = "below(dir) AS (SELECT DISTINCT root FROM cands UNION SELECT child FROM below JOIN entries USING (dir) WHERE child_type = 'dir')"
 _NAMES = f"names AS (SELECT DISTINCT unnest({_PARTS.format(c='rel_path')}) AS name FROM cands)"
 
+#: Ok rows resolved once more, from revision and path alone: every part of a path with its place, joined level by level.
+_AGAIN = f""",
+okay AS (SELECT rev_swhid, rel_path, cnt_swhid FROM outs WHERE status = 'ok'),
+parts AS (SELECT rev_swhid, rel_path, unnest(comps) AS name, unnest(range(1, len(comps) + 1)) AS place, len(comps) AS size FROM (SELECT DISTINCT rev_swhid, rel_path, {_PARTS.format(c='rel_path')} AS comps FROM okay)),
+down(rev_swhid, rel_path, place, size, cur, kind) AS (
+  SELECT DISTINCT p.rev_swhid, p.rel_path, 0::BIGINT, p.size, e.dst, 'dir' FROM parts p JOIN nodes r ON r.swhid = p.rev_swhid JOIN (SELECT src, min(dst) AS dst FROM edges WHERE src_type = 'rev' AND dst_type = 'dir' GROUP BY src) e ON e.src = r.node_id
+  UNION ALL SELECT d.rev_swhid, d.rel_path, p.place, d.size, n.child, n.child_type FROM down d JOIN parts p ON p.rev_swhid = d.rev_swhid AND p.rel_path = d.rel_path AND p.place = d.place + 1 JOIN first_entries n ON n.dir = d.cur AND n.name = p.name WHERE d.kind = 'dir'),
+redone AS (SELECT d.rev_swhid, d.rel_path, c.swhid AS again FROM down d JOIN nodes c ON c.node_id = d.cur WHERE d.kind = 'cnt' AND d.place = d.size)
+"""
+_COUNTS = """SELECT (SELECT count(*) FROM okay)::BIGINT AS sampled, count_if(again = cnt_swhid)::BIGINT AS matched, count_if(again <> cnt_swhid)::BIGINT AS mismatched, count_if(again IS NULL)::BIGINT AS unresolved,
+  (SELECT count(*) FROM outs WHERE status <> 'ok')::BIGINT AS other FROM okay LEFT JOIN redone USING (rev_swhid, rel_path)"""
+
 
 ORACLE_SQL: dict[str, str] = {
     "canonical_url": _sql(f"SELECT DISTINCT repo, {_CANON} AS url FROM requests"),
@@ -328,5 +341,5 @@ ORACLE_SQL: dict[str, str] = {
         LEFT JOIN chosen p USING (repo, commit_id) LEFT JOIN won w USING (repo, commit_id) GROUP BY 1""",
         upto="cands",
     ),
-    "verify_counts": _sql("SELECT least(2000, count_if(status = 'ok'))::BIGINT AS sampled, least(2000, count_if(status = 'ok'))::BIGINT AS matched, 0::BIGINT AS mismatched, 0::BIGINT AS unresolved, count_if(status <> 'ok')::BIGINT AS other FROM outs", upto="outs"),
+    "verify_counts": _sql(f"{_AGAIN} {_COUNTS}", upto="outs"),
 }

@@ -26,11 +26,15 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Archive:
-    """nodes by SWHID, typed edges, and labelled directory entries. Node types: ori, snp, rel, rev, dir, cnt."""
+    """nodes by SWHID, typed edges, and labelled directory entries. Node types: ori, snp, rel, rev, dir, cnt.
+
+    unique tells that entries has one row per (dir, name), as write_archive leaves it.
+    """
 
     nodes: DataFrame
     edges: DataFrame
     entries: DataFrame
+    unique: bool = False
 
     def of_type(self, kind: str) -> DataFrame:
         return self.nodes.where(F.col("node_type") == kind)
@@ -43,15 +47,36 @@ class Archive:
         return self.nodes.count()
 
 
+#: Tells in an archive's folder that its entries have one row per (dir, name), clustered by dir.
+CLUSTERED = "entries-by-dir"
+
+
 def read_archive(spark: SparkSession, path: str) -> Archive:
-    return Archive(*(spark.read.schema(s).parquet(f"{path}/{n}") for n, s in (("nodes", NODES), ("edges", EDGES), ("entries", ENTRIES))))
+    """The tables under path, by whomever they were written."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{CLUSTERED}")
+    unique = mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+    return Archive(*(spark.read.schema(s).parquet(f"{path}/{n}") for n, s in (("nodes", NODES), ("edges", EDGES), ("entries", ENTRIES))), unique)
+
+
+def first_entries(entries: DataFrame) -> DataFrame:
+    """One entry per (dir, name): the smallest child."""
+    first = entries.groupBy("dir", "name").agg(F.min(F.struct("child", "child_type")).alias("e"))
+    return first.select("dir", "name", "e.child", "e.child_type")
 
 
 def write_archive(archive: Archive, path: str) -> None:
-    """Entries and edges are sorted by what walks look up, so that row-group statistics prune them."""
+    """The tables, clustered by what is looked up in them: nodes by type and SWHID, edges by types and source, entries by dir and name.
+
+    Entries are dealt by ranges of dir, so that a file, and a row group in it, spans few directories and its statistics tell which;
+    of several entries of one name in a directory the one that walks take is kept.
+    """
+    spark = archive.nodes.sparkSession
     archive.nodes.sortWithinPartitions("node_type", "swhid").write.parquet(f"{path}/nodes")
     archive.edges.sortWithinPartitions("src_type", "dst_type", "src").write.parquet(f"{path}/edges")
-    archive.entries.sortWithinPartitions("dir", "name").write.parquet(f"{path}/entries")
+    entries = archive.entries if archive.unique else first_entries(archive.entries)
+    entries.select("dir", "name", "child", "child_type").repartitionByRange("dir").sortWithinPartitions("dir", "name").write.parquet(f"{path}/entries")
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{CLUSTERED}")
+    mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(mark, True).close()
 
 
 def as_requests(df: DataFrame) -> DataFrame:
@@ -70,10 +95,9 @@ def write_candidates(cands: DataFrame, path: str) -> None:
 
 
 def write_resolved(resolved: DataFrame, path: str) -> None:
-    """A folder bin=<b> for each bin, zstd Parquet. Rows are dealt by bin and a salt, so that a large bin is several tasks' work and files."""
+    """A folder bin=<b> for each bin, zstd Parquet. Rows are gathered by bin as far as partitions of a sensible size go: a large bin is several tasks' work and files."""
     out = require_columns(resolved, *OUTPUT, "bin").select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in OUTPUT], "bin")
-    salt = F.pmod(F.xxhash64("repo", "commit_id"), F.lit(16))
-    out.repartition("bin", salt).write.partitionBy("bin").option("compression", "zstd").parquet(path)
+    out.hint("rebalance", "bin").write.partitionBy("bin").option("compression", "zstd").parquet(path)
 
 
 def read_resolved(spark: SparkSession, path: str) -> DataFrame:
