@@ -3,7 +3,7 @@ import hashlib
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from trailmark.llm.chat import assemble, control_rows, escape, format_turns, parse, read_back, render, unescape
+from trailmark.llm.chat import assemble, control_rows, escape, escape_role, format_turns, parse, read_back, render, unescape
 
 tricky = st.text(alphabet=st.sampled_from(list("<|>\\ai_menstrd\n é🎉")), max_size=40)
 
@@ -15,7 +15,7 @@ def test_escaping_is_reversible(t):
 
 
 @settings(deadline=None)
-@given(tricky.map(lambda t: t.replace("\n", " ")), tricky)
+@given(tricky, tricky)
 def test_turn_round_trip(role, text):
     for r in (role, "assistant"):
         ids, mask = assemble(r, text)
@@ -28,11 +28,11 @@ def test_turn_round_trip(role, text):
 def want(rows):
     by = {}
     for c, t, r, x in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0)):
-        by.setdefault(c, []).append(((r or "").replace("\n", " "), x or ""))
+        by.setdefault(c, []).append((r or "", x or ""))
     out = {}
     for c, turns in by.items():
         said, learned = "".join(f"{r}\n{x}\n" for r, x in turns), "".join(x for r, x in turns if r == "assistant")
-        chars = sum(len(escape(r)) + len(escape(x)) + 24 for r, x in turns)
+        chars = sum(len(escape_role(r)) + len(escape(x)) + 24 for r, x in turns)
         out[c] = (len(turns), hashlib.sha256(said.encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest(), chars)
     return out
 

@@ -2,7 +2,8 @@
 
 A turn is   <|im_start|>ROLE\nTEXT<|im_end|>\n   . Role and text are encoded by themselves; the two marks are
 reserved ids above the vocabulary, spliced in between, so no text can yield them. In the rendered string a text's own
-`<|` gets a backslash in between, and one more where there are some, which unescaping takes away again.
+`<|` gets a backslash in between, and one more where there are some, which unescaping takes away again; in a role
+backslashes are then doubled and a line feed is written as a backslash and n.
 The loss mask covers the encoded texts of the roles that are learned: +1 where one begins and -1
 where it ends, summed up.
 """
@@ -24,7 +25,7 @@ from trailmark.llm.tokens import TOKENIZER, VOCABULARY, decode, encode
 START, STOP = 50257, 50258
 MARKS = {START: "<|im_start|>", STOP: "<|im_end|>"}
 LEARNED = ("assistant",)
-_ESCAPE, _UNESCAPE = re.compile(r"<(\\*)\|"), re.compile(r"<(\\*)\\\|")
+_ESCAPE, _UNESCAPE, _IN_ROLE = re.compile(r"<(\\*)\|"), re.compile(r"<(\\*)\\\|"), re.compile(r"\\(.)")
 
 
 def escape(text: str) -> str:
@@ -36,9 +37,18 @@ def unescape(text: str) -> str:
     return _UNESCAPE.sub(r"<\1|", text)
 
 
+def escape_role(role: str) -> str:
+    """role without `<|` and line feeds; unescape_role gives it back."""
+    return escape(role).replace("\\", "\\\\").replace("\n", "\\n")
+
+
+def unescape_role(role: str) -> str:
+    return unescape(_IN_ROLE.sub(lambda m: "\n" if m[1] == "n" else m[1], role))
+
+
 def assemble(role: str, text: str, learned: tuple[str, ...] = LEARNED, vocabulary: str = VOCABULARY, tokenizer: str = TOKENIZER) -> tuple[np.ndarray, np.ndarray]:
     """Ids and loss mask of a turn."""
-    segments = [[START], encode(escape(role) + "\n", vocabulary, tokenizer), encode(escape(text), vocabulary, tokenizer), [STOP], encode("\n", vocabulary, tokenizer)]
+    segments = [[START], encode(escape_role(role) + "\n", vocabulary, tokenizer), encode(escape(text), vocabulary, tokenizer), [STOP], encode("\n", vocabulary, tokenizer)]
     ends = np.cumsum([len(s) for s in segments])
     steps = np.zeros(ends[-1] + 1, np.int64)
     if role in learned:
@@ -61,16 +71,14 @@ def parse(ids: list[int], mask: list[int], vocabulary: str = VOCABULARY) -> tupl
     """(role, text, text under the mask) of a turn's ids, unescaped."""
     body = decode(ids[ids.index(START) + 1 : ids.index(STOP)], vocabulary)
     role, _, text = body.partition("\n")
-    return unescape(role), unescape(text), unescape(decode([i for i, m in zip(ids, mask) if m], vocabulary))
-
-
+    return unescape_role(role), unescape(text), unescape(decode([i for i, m in zip(ids, mask) if m], vocabulary))
 
 
 def format_turns(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", learned: tuple[str, ...] = LEARNED, vocabulary: str = VOCABULARY, tokenizer: str = TOKENIZER) -> DataFrame:
     """A row per turn: conv_id, turn, role, ids, loss_mask, n_chars of its formatted string.
 
     A conversation's ids are its turns' in order, one after another, so that a conversation of any
-    length never has to fit into one row. Null text or role: empty; line feeds of a role become spaces. Null
+    length never has to fit into one row. Null text or role: empty. Null
     conv_id and turn stay null. Repeated rows are turns of their own. No rows: none.
     """
 
@@ -81,11 +89,11 @@ def format_turns(conversations: DataFrame, conv_id: str = "conv_id", turn: str =
                 i, m = assemble(r, t or "", learned, vocabulary, tokenizer)
                 ids.append(i)
                 masks.append(m)
-                sizes.append(len(MARKS[START]) + len(escape(r)) + 1 + len(escape(t or "")) + len(MARKS[STOP]) + 1)
+                sizes.append(len(MARKS[START]) + len(escape_role(r)) + 1 + len(escape(t or "")) + len(MARKS[STOP]) + 1)
             cols = [b.column(0), b.column(1), b.column(2), pa.array(ids, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.int8())), pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, names=["conv_id", "turn", "role", "ids", "loss_mask", "n_chars"])
 
-    rows = conversations.select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.translate(F.coalesce(F.col(role), F.lit("")), "\n", " ").alias("role"), F.col(text).alias("text"))
+    rows = conversations.select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "conv_id long, turn long, role string, ids array<int>, loss_mask array<byte>, n_chars long")
 
 

@@ -16,14 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trailmark.llm.runtime import cut, pieces
 from trailmark.llm.tokens import TOKENIZER, VOCABULARY, encode_array
 
-CAPACITY, GROUPS, SMALL, END = 1024, 96, 0.10, 2
+CAPACITY, GROUPS, SMALL, END = 1024, 400, 0.30, 2
 
 Plan = list[tuple[tuple[int, ...], int]]
 
@@ -142,24 +142,14 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
     return sorted(out.items(), reverse=True)
 
 
-def improve(found: Plan, capacity: int = CAPACITY, groups: int = GROUPS) -> Plan:
-    """found, or an exact-size configuration of the same lengths (a group for each) if that takes fewer sequences."""
-    counts: Counter = Counter()
-    for b, n in found:
-        for s in b:
-            counts[s] += n
-    other = plan(counts, capacity, groups=1 << 62, small=0.0)
-    return min(found, other, key=lambda p: sum(n for _, n in p))
-
-
 def tokenize(docs: DataFrame, doc_id: str, text: str, capacity: int, vocabulary: str = VOCABULARY, tokenizer: str = TOKENIZER) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32."""
+    """One row per piece: doc_id, piece, start, length, ids_crc32. Strings of the vocabulary's special tokens become these, as with tokenizers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text", 4 << 20):
             cols: list[list] = [[], [], [], [], []]
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = np.append(encode_array(t or "", vocabulary, tokenizer), np.uint32(END)).astype("<u4")
+                ids = np.append(encode_array(t or "", vocabulary, tokenizer, special=True), np.uint32(END)).astype("<u4")
                 first = len(ids) - (-(-len(ids) // capacity) - 1) * capacity
                 for k, (lo, hi) in enumerate(zip([0, *range(first, len(ids), capacity)], range(first, len(ids) + 1, capacity))):
                     for c, v in zip(cols, (i, k, lo, hi - lo, zlib.crc32(ids[lo:hi].tobytes()))):
@@ -169,11 +159,16 @@ def tokenize(docs: DataFrame, doc_id: str, text: str, capacity: int, vocabulary:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def place(rows: DataFrame, found: Plan, length: str = "length", per_cell: int = 500) -> DataFrame:
+#: Cells whose counts one task adds up in a row.
+BLOCK = 1024
+
+
+def place(rows: DataFrame, found: Plan, length: str = "length", per_cell: int = 500, block: int = BLOCK) -> DataFrame:
     """rows with sequence_id and offset, by a plan for their lengths.
 
     Rows are numbered within their length. For that each length's rows are dealt by hash into cells of
-    about per_cell, counted (as many counts as cells), and numbered within their cell.
+    about per_cell, counted (as many counts as cells), and numbered within their cell. The cells' counts are added up in blocks of
+    `block` cells, and the blocks' sums then in one task a length: a row for every per_cell * block rows of that length.
     """
     slots: list[tuple[int, int, int, int]] = []  # length, first number, first sequence, offset
     seen: Counter = Counter()
@@ -187,12 +182,16 @@ def place(rows: DataFrame, found: Plan, length: str = "length", per_cell: int =
         sequence += times
     slots.sort()
     table = np.array(slots, np.int64).reshape(-1, 4)
-    cells = F.array(*[F.lit(-(-seen[s] // per_cell) or 1) for s in range(max(seen, default=0) + 1)])
+    cells = F.array(*[F.lit(-(-seen[s] // per_cell) or 1).cast("long") for s in range(max(seen, default=0) + 1)])
     cols = [c for c in rows.columns if c not in ("sequence_id", "offset")]
-    rows = rows.select(*cols).withColumn("_cell", F.pmod(F.xxhash64(*[F.col(c) for c in cols if c != length]), F.get(cells, F.col(length).cast("int"))).cast("int"))
-    counts = rows.groupBy(length, "_cell").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(length).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(F.col(length).alias("_l"), F.col("_cell").alias("_c"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    rows = rows.select(*cols).withColumn("_cell", F.pmod(F.xxhash64(*[F.col(c) for c in cols if c != length]), F.get(cells, F.col(length).cast("int"))))
+    counts = rows.groupBy(F.col(length).alias("_l"), F.col("_cell").alias("_c")).agg(F.count("*").alias("_n")).withColumn("_block", F.expr(f"_c div {block}"))
+
+    def before(*of: str, by: str) -> Column:
+        return F.coalesce(F.sum("_n").over(Window.partitionBy(*of).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    blocks = counts.groupBy("_l", "_block").agg(F.sum("_n").alias("_n")).select("_l", "_block", before("_l", by="_block").alias("_earlier"))
+    counts = counts.select("_l", "_c", "_block", before("_l", "_block", by="_c").alias("_before")).join(blocks, ["_l", "_block"]).select("_l", "_c", (F.col("_earlier") + F.col("_before")).alias("_before"))
     within = Window.partitionBy(length, "_cell").orderBy(*[F.col(c) for c in cols if c != length])
     numbered = rows.withColumn("_k", F.row_number().over(within))
     numbered = numbered.join(counts, (numbered[length] == counts["_l"]) & (numbered["_cell"] == counts["_c"])).select(*cols, (F.col("_before") + F.col("_k") - 1).alias("_rank"))
@@ -212,11 +211,11 @@ def place(rows: DataFrame, found: Plan, length: str = "length", per_cell: int =
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, groups: int = GROUPS, vocabulary: str = VOCABULARY, tokenizer: str = TOKENIZER) -> DataFrame:
     """Pieces of documents and their places in sequences of at most `capacity` tokens.
 
-    A text's ids end with id 2. Longer ones are cut into pieces of `capacity`, but for the first. Returns
+    A text's ids are those that tokenizers gives (special tokens' strings included) and id 2. Longer ones are cut into pieces of `capacity`, but for the first. Returns
     doc_id, piece, start, length, ids_crc32, sequence_id, offset, a row per piece. Null text: empty (one
     piece, the end id). Null doc_id stays null; rows that repeat an id are packed each, equal rows included.
     No documents: no rows.
     """
     rows = cut(tokenize(docs, doc_id, text, capacity, vocabulary, tokenizer))
     histogram = {int(r["length"]): int(r["n"]) for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
-    return place(rows, improve(plan(histogram, capacity, groups), capacity))
+    return place(rows, plan(histogram, capacity, groups))

@@ -83,12 +83,14 @@ def packed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cap
 
     A document's ids are its text's and the id `end`; longer ones than capacity are cut into pieces
     of capacity and a last shorter one, and nothing is lost. ids holds capacity ids of 2 bytes (4 if wide), `pad`
-    after the first n_tokens. cu_seqlens begins with 0 and ends with n_tokens; resets are the offsets at which
+    after the first n_tokens; an id that doesn't fit is an error. cu_seqlens begins with 0 and ends with n_tokens; resets are the offsets at which
     positions return to 0 (the pieces' first ids); doc_ids and starts tell each piece's document and
     how many of its ids came before. Null text: empty (one id). Null ids stay null; repeated rows are
     packed each. No documents: no rows.
     """
     kind = "<u4" if wide else "<u2"
+    if not 0 <= max(end, pad) <= (0xFFFFFFFF if wide else 0xFFFF):
+        raise ValueError("end and pad must fit into the rows' ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -97,7 +99,10 @@ def packed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cap
         total = 0
         for b in pieces(batches, "text", 1 << 20):
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = np.append(encode_array(t or "", vocabulary, tokenizer), np.uint32(end)).astype(kind)
+                ids = np.append(encode_array(t or "", vocabulary, tokenizer), np.uint32(end))
+                if not wide and ids.max() > 0xFFFF:
+                    raise ValueError(f"id {ids.max()} doesn't fit into 16 bits; ask for wide rows")
+                ids = ids.astype(kind)
                 held += [(i, lo, ids[lo : lo + capacity]) for lo in range(0, len(ids), capacity)]
                 total += len(ids)
             if total >= CHUNK:

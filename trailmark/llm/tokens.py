@@ -7,6 +7,7 @@ refuses is encoded by tokenizers.
 from __future__ import annotations
 
 import base64
+import json
 from functools import lru_cache
 
 import numpy as np
@@ -30,33 +31,44 @@ def _encoder(path: str):
     return tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-@lru_cache(2)
-def _fallback(path: str):
+@lru_cache(4)
+def _fallback(path: str, special: bool):
+    """tokenizers' own encoder, which takes strings of special tokens for these, or for ordinary text."""
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    t.encode_special_tokens = not special
     return t
 
 
+@lru_cache(2)
+def _special(path: str) -> tuple[str, ...]:
+    """The strings of the added tokens of a tokenizers file."""
+    with open(path, encoding="utf-8") as f:
+        return tuple(x["content"] for x in json.load(f)["added_tokens"])
+
+
 @lru_cache(2)
 def _table(path: str) -> dict[int, bytes]:
     with open(path, "rb") as f:
         return {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
 
 
-def encode(text: str, vocabulary: str = VOCABULARY, tokenizer: str = TOKENIZER) -> list[int]:
-    """Ids of a whole text, strings of special tokens taken as ordinary text."""
+def encode(text: str, vocabulary: str = VOCABULARY, tokenizer: str = TOKENIZER, special: bool = False) -> list[int]:
+    """Ids of a whole text. Strings of special tokens are ordinary text, or with special the ids that tokenizers gives them."""
+    path = vocabulary_path(tokenizer)
+    if special and any(s in text for s in _special(path)):
+        return _fallback(path, True).encode(text, add_special_tokens=False).ids
     try:
         return _encoder(vocabulary_path(vocabulary)).encode_ordinary(text)
     except BaseException as e:  # a Rust panic is no Exception
         if isinstance(e, (KeyboardInterrupt, SystemExit, MemoryError)):
             raise
-        return _fallback(vocabulary_path(tokenizer)).encode(text, add_special_tokens=False).ids
+        return _fallback(path, False).encode(text, add_special_tokens=False).ids
 
 
-def encode_array(text: str, vocabulary: str = VOCABULARY, tokenizer: str = TOKENIZER) -> np.ndarray:
-    return np.array(encode(text, vocabulary, tokenizer), np.uint32)
+def encode_array(text: str, vocabulary: str = VOCABULARY, tokenizer: str = TOKENIZER, special: bool = False) -> np.ndarray:
+    return np.array(encode(text, vocabulary, tokenizer, special), np.uint32)
 
 
 def decode(ids, vocabulary: str = VOCABULARY) -> str:
