@@ -16,7 +16,7 @@ def auc(score, label):
     return (rank[label == 1].mean() - (n - 1) / 2) / (len(label) - n)
 
 
-@pytest.mark.parametrize("op,label,folds,held_out,least", [(toxicity, "toxic", 4, 2, 0.95), (quality, "quality", 5, 0, 0.97)])
+@pytest.mark.parametrize("op,label,folds,held_out,least", [(toxicity, "toxic", 4, 2, 0.95), (quality, "quality", 5, 0, 0.85)])
 def test_held_out_accuracy(spark, op, label, folds, held_out, least):
     docs, labels = spark.read.parquet(f"{DIR}/documents.parquet"), spark.read.parquet(f"{DIR}/labels.parquet")
     got = op.classify(docs, labels, folds=folds, held_out=held_out)
@@ -50,12 +50,77 @@ def test_defined_cases(spark, docs, op, label):
     by = {r["doc_id"]: r["score"] for r in got.collect()}
     assert by[41] == by[42]
     none = spark.createDataFrame([], f"doc_id long, {label} int")
-    assert {r["score"] for r in op.classify(docs(rows), none).collect()} <= {0.5} or op is quality
+    assert {r["score"] for r in op.classify(docs(rows), none).collect()} == {0.5}
     assert op.classify(docs([]), labels).collect() == []
     one = spark.createDataFrame([(i, 1) for i in range(40)], f"doc_id long, {label} int")
     assert op.classify(docs(rows), one).where("score < 0.5").count() == 0
 
 
+def test_toxicity_scores_are_the_formula(spark):
+    """b, the weights of a text's distinct terms, and all their pairs, one by one."""
+    texts = ["You are a moron, they said.", "they they they", "", "A b c d e f g h. moron", "é ü 你好 moronic"]
+    rng = np.random.default_rng(2)
+    ids, bounds = toxicity.terms(pa.array(texts), 12)
+    slot = np.zeros(1 << 12, np.int32)
+    some = np.unique(ids)[::2]
+    slot[some] = np.arange(1, len(some) + 1)
+    m = toxicity.Machine(slot, -0.3, np.append(0, rng.normal(size=len(some))), np.vstack([np.zeros(4), rng.normal(size=(len(some), 4))]))
+    got = m.scores(pa.array(texts), 12)
+    for k, s in enumerate(got):
+        own = [int(slot[i]) for i in sorted(set(ids[bounds[k] : bounds[k + 1]].tolist())) if slot[i]]
+        z = m.b + sum(m.w[i] for i in own) + sum(float(m.v[i] @ m.v[j]) for a, i in enumerate(own) for j in own[a + 1 :])
+        assert s == pytest.approx(1 / (1 + np.exp(-z)))
+
+
+def spelt_out(text):
+    """A text's quality features by name, as often as they occur: what word_features hashes."""
+    words = text.split()
+    out = []
+    for k, w in enumerate(words):
+        out.append(("word", w))
+        for n in quality.GRAMS:
+            out += [(n, w[i : i + n]) for i in range(len(w) - n + 1)]
+        if len(w) >= 3:
+            out += [("first", w[:3]), ("last", w[-3:])]
+        if k + 1 < len(words):
+            out.append(("pair", w, words[k + 1]))
+    return out
+
+
+def test_quality_scores_are_the_formula():
+    """The softmax of the average vector of words, character n-grams and word pairs, each as often as it occurs."""
+    texts = ["Éan Éan çaux. a", "one two one two three", "", "日本語の文 x", "abcdefghij " * 3]
+    n_features = [len(spelt_out(t)) for t in texts]
+    bags = quality.bags(pa.array(texts), 20)
+    assert [int(c.sum()) for _, c in bags] == n_features
+    assert [len(i) for i, _ in bags] == [len(set(spelt_out(t))) for t in texts]  # 2**20 rows: nothing collides here
+    # One feature, one row: the same feature in different texts, and nothing else, shares it.
+    where = {}
+    for t, (ids, _) in zip(texts, bags):
+        for f in set(spelt_out(t)):
+            where.setdefault(f, []).append(set(ids.tolist()))
+    for f, sets in where.items():
+        assert set.intersection(*sets), f
+    rows = [(i, c) for i, c in bags] * 8
+    m = quality.train(rows, np.array([0, 1, 1, 1, 0] * 8), bits=20, size=4, epochs=2)
+    got = m.scores(pa.array(texts), 20)
+    for (ids, counts), s in zip(bags, got):
+        z = m.b + (sum(float(m.slopes[i]) * int(c) for i, c in zip(ids, counts)) / counts.sum() if len(ids) else 0)
+        assert s == pytest.approx(1 / (1 + np.exp(-z)))
+    assert got[0] < 0.5 < got[1]
+
+
+def test_samples_are_bounded(spark):
+    from pyspark.sql import functions as F
+
+    from trailmark.llm.labelled import within
+
+    rows = spark.range(4000).select(F.col("id").alias("_id"), F.sequence(F.lit(1), F.lit(10)).alias("x"))
+    assert within(rows, F.size("x"), 40_000).count() == 4000
+    assert 500 < within(rows, F.size("x"), 10_000).count() < 1500
+    assert within(rows, F.size("x"), 10_000).exceptAll(within(rows, F.size("x"), 10_000)).count() == 0
+
+
 def test_pairs_learn_what_single_terms_cannot():
     """Toxic only if an insult meets a group: each alone is as often clean as toxic."""
     rng = np.random.default_rng(0)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trailmark.llm.runtime import cut
+
 
 def fold(doc_id: Column | str, folds: int) -> Column:
     """crc32 of an id as text, modulo folds."""
@@ -28,3 +30,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, he
     """(_id, label, text) of the sample. The ids are broadcast, being bounded; the texts aren't shuffled."""
     ids = training_ids(labels, label, folds, held_out, bound)
     return docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(ids), "_id").select("_id", "label", "text")
+
+
+def within(rows: DataFrame, size: Column, most: int) -> DataFrame:
+    """rows (_id, ...) written once, or a share of them by a hash of the id alone, so that their sizes add up to about `most` at most."""
+    rows = cut(rows)
+    total = rows.agg(F.sum(size)).first()[0] or 0
+    if total <= most:
+        return rows
+    return rows.where(F.pmod(F.xxhash64("_id", F.lit(18)), F.lit(1 << 20)) < F.lit(round(most / total * (1 << 20))))

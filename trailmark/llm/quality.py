@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailmark.llm.labelled import fold, training_rows
+from trailmark.llm.labelled import fold, training_rows, within
 from trailmark.llm.runtime import pieces
 from trailmark.llm.textops import U, Words, combine, hash_ranges
 
 BITS, SIZE, SAMPLE, EPOCHS, RATE = 17, 16, 8_000, 4, 0.5
 GRAMS = (3, 4, 5)
+#: Distinct features of all texts of the sample, 6 bytes each: the other bound of the sample.
+MOST = 10_000_000
 
 
 def word_features(w: Words, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -107,10 +109,10 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: i
     out, bias = np.zeros((size, 2), np.float32), np.zeros(2, np.float32)
     past, past_out, past_bias = (np.full(x.shape, 1e-8, np.float32) for x in (vectors, out, bias))
     y = np.asarray(labels, int)
-    shares = [(c / max(1, c.sum())).astype(np.float32) for _, c in rows]
+    total = [max(1, int(c.sum())) for _, c in rows]
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            ids, share = rows[i][0], shares[i]
+            ids, share = rows[i][0], (rows[i][1] / total[i]).astype(np.float32)
             own = vectors[ids]
             hidden = share @ own if len(ids) else np.zeros(size, np.float32)
             z = hidden @ out + bias
@@ -130,20 +132,22 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: i
     return Embeddings((vectors @ (out[:, 1] - out[:, 0])).astype(np.float64), float(bias[1] - bias[0]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, held_out: int = 0, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", bits: int = BITS) -> Embeddings:
-    """Embeddings from a bounded sample (about `sample` rows at most) of the labelled rows outside fold held_out."""
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, held_out: int = 0, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", bits: int = BITS, most: int = MOST) -> Embeddings:
+    """Embeddings from a bounded sample of the labelled rows outside fold held_out: about `sample` rows and `most` distinct features at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
             got = bags(b.column(2), bits)
-            cols = [pa.array([x[k].astype(np.int32) for x in got], pa.list_(pa.int32())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["_id", "label", "ids", "counts"])
+            ids = pa.array([i.astype(np.int32) for i, _ in got], pa.list_(pa.int32()))
+            counts = pa.array([np.minimum(c, 32767).astype(np.int16) for _, c in got], pa.list_(pa.int16()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), ids, counts], names=["_id", "label", "ids", "counts"])
 
-    rows = training_rows(docs, labels, label, folds, held_out, sample, doc_id, text).mapInArrow(run, "_id long, label int, ids array<int>, counts array<int>")
-    got = rows.toArrow()
-    got = got.take(pc.sort_indices(got, [("_id", "ascending")]))
+    rows = training_rows(docs, labels, label, folds, held_out, sample, doc_id, text).mapInArrow(run, "_id long, label int, ids array<int>, counts array<short>")
+    got = within(rows, F.size("ids"), most).toArrow()
+    # Views of the table's own memory, by id.
     bag = [(np.asarray(a.values), np.asarray(b.values)) for a, b in zip(got.column("ids"), got.column("counts"))]
-    return train(bag, got.column("label").to_numpy(), bits)
+    order = pc.sort_indices(got, [("_id", "ascending")]).to_numpy()
+    return train([bag[i] for i in order], got.column("label").to_numpy()[order], bits)
 
 
 def score(docs: DataFrame, model: Embeddings, text: str = "text", threshold: float = 0.3, bits: int = BITS) -> DataFrame:

@@ -21,13 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailmark.llm.labelled import fold, training_rows
+from trailmark.llm.labelled import fold, training_rows, within
 from trailmark.llm.runtime import pieces
 from trailmark.llm.textops import U, Words, hash_ranges
 
 BITS, FACTORS, SAMPLE, LEAST, EPOCHS = 18, 6, 20_000, 3.0, 12
 #: Standard errors by which a pair's texts differ from what its two terms let expect; more than for terms, as there are so many more pairs.
 PAIRED = 5.0
+#: Distinct terms of all texts of the sample, 4 bytes each: the other bound of the sample.
+MOST = 20_000_000
 
 
 def terms(col: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -172,8 +174,8 @@ def train(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors
     return Machine(slot, b, w, v)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4, held_out: int = 2, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", bits: int = BITS) -> Machine:
-    """A machine from a bounded sample (about `sample` rows at most) of the labelled rows outside fold held_out."""
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4, held_out: int = 2, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", bits: int = BITS, most: int = MOST) -> Machine:
+    """A machine from a bounded sample of the labelled rows outside fold held_out: about `sample` rows and `most` distinct terms at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
@@ -181,10 +183,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))], names=["_id", "label", "terms"])
 
     rows = training_rows(docs, labels, label, folds, held_out, sample, doc_id, text).mapInArrow(run, "_id long, label int, terms array<int>")
-    got = rows.toArrow()
-    got = got.take(pc.sort_indices(got, [("_id", "ascending")]))
+    got = within(rows, F.size("terms"), most).toArrow()
+    order = pc.sort_indices(got, [("_id", "ascending")]).to_numpy()
     lists = [np.asarray(x.values) for x in got.column("terms")]
-    return train(lists, got.column("label").to_numpy(), bits)
+    return train([lists[i] for i in order], got.column("label").to_numpy()[order], bits)
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text", threshold: float = 0.3, bits: int = BITS) -> DataFrame:
