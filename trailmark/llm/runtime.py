@@ -6,12 +6,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from trailmark.operators.lineage import cut, scratch
+from trailmark.operators.membership import split
 
-__all__ = ["cut", "pieces", "remove", "scratch", "split"]
+__all__ = ["cut", "kept", "listed", "pieces", "read_text", "remove", "scratch", "split", "write_text"]
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -50,6 +50,13 @@ def read_text(spark: SparkSession, path: str) -> str:
         file.close()
 
 
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """df as a table under path, read back: half a checkpoint's size or less, and gone as soon as it is removed."""
+    schema = df.schema
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most so many bytes of a string column, or one row."""
     for batch in batches:
@@ -64,26 +71,3 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 18)
                 at, total = i, 0
             total += int(n)
         yield batch.slice(at)
-
-
-#: Bits of a membership bitmap: 4 MB, whatever the input. Where it fills up, rows take the shuffle they would take without it.
-BITMAP = 25
-
-
-def split(df: DataFrame, key: str, members: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
-    """df in two: rows whose key may be among members' values (all that are, and a few more), and rows whose key surely isn't (nulls too).
-
-    The members' hashes are set in a bitmap of fixed size, which is broadcast, so that only the first
-    part need be shuffled for an exact join.
-    """
-
-    def number(c: Column) -> Column:
-        return F.pmod(F.xxhash64(c.cast("string")), F.lit(1 << BITMAP)) + 1
-
-    marks = members.where(F.col(column).isNotNull()).select(number(F.col(column)).alias("n"))
-    marks = cut(marks.groupBy(F.bitmap_bucket_number("n").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("__bits")))
-    at = F.bitmap_bit_position(number(F.col(key)))
-    flagged = df.withColumns({"__bucket": F.bitmap_bucket_number(number(F.col(key))), "__at": at}).join(F.broadcast(marks), "__bucket", "left")
-    flagged = flagged.withColumn("__maybe", F.coalesce(F.expr("shiftright(cast(conv(hex(substring(__bits, cast(__at div 8 as int) + 1, 1)), 16, 10) as int), cast(__at % 8 as int)) & 1") == 1, F.lit(False)))
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    return flagged.where("__maybe").select(*cols), flagged.where("not __maybe").select(*cols)
