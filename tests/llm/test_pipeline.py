@@ -1,3 +1,5 @@
+import os
+
 import corpus_pipeline as P
 
 SF = "/root/testdata/sf0.01"
@@ -31,3 +33,21 @@ def test_empty_documents(spark, tmp_path):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
     assert P.run(spark, str(tmp_path)).collect() == []
+
+
+def test_clashing_columns_stay_as_they_were(spark):
+    """Columns with the names that operators and stages give their own, in any case, of other types."""
+    names = ["score", "Predicted", "n_words", "N_Removed", "doc", "spans", "windows", "fp", "who", "key", "band", "leaks", "__leaks", "predicted2", "row_id", "component_id"]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("*", *[f"concat('{n}-', doc_id) as `{n}`" for n in names])
+    for _, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.dtypes == docs.dtypes
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}-{r['doc_id']}" for r in rows for n in names)
+
+
+def test_stage_tables_are_removed(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(P, "scratch", lambda s, n, plain=P.scratch: made.append(plain(s, n)) or made[-1])
+    assert P.run(spark, "/root/testdata/sf0.001").count() > 0
+    assert len(made) == 4 and not any(os.path.exists(p) for p in made)

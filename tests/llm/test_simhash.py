@@ -1,10 +1,11 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from trailmark.llm.components import components
-from trailmark.llm.simhash import Planes, forest, link, near_copies, near_dedup, simhash_components
+from trailmark.llm.simhash import Planes, block_keys, forest, link, near_copies, near_dedup, safe_radius, simhash_components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -126,8 +127,8 @@ def test_near_copies_against_brute_force(docs):
         return bool(x and y) and len(x & y) >= 0.8 * len(x | y)
 
     want = roots(sorted(sets), linked)
-    for tile in (1500, 3):
-        got = {r["doc_id"]: r["component_id"] for r in near_copies(docs(rows), tile=tile).collect()}
+    for tile, leaders in ((1500, 8), (3, 8), (3, 1)):
+        got = {r["doc_id"]: r["component_id"] for r in near_copies(docs(rows), tile=tile, leaders=leaders).collect()}
         assert {i: got.get(i, i) for i in want} == want
     df = docs(rows + [(None, rows[0][1])], band=1, key=2, __y=3)
     kept = near_dedup(df)
@@ -135,3 +136,35 @@ def test_near_copies_against_brute_force(docs):
     assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == sorted(set(want.values()))
     assert kept.where("doc_id is null").count() == 1
     assert near_dedup(docs([])).collect() == []
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 0.95])
+def test_pairs_of_just_the_similarity_are_found(docs, similarity):
+    """Pairs of texts, short and long, that have exactly this share of their shingles in common, and none with any other pair."""
+    rng = random.Random(6)
+    rows, n = [], 150
+    for k in range(n):
+        size = rng.choice((20, 60, 180))
+        both = round(2 * size * similarity / (1 + similarity))
+        while both / (2 * size - both) < similarity:
+            both += 1
+        w = [f"{k}-{i}" for i in range(2 * size + 4)]
+        rows += [(2 * k, " ".join(w[: size + 4])), (2 * k + 1, " ".join(w[size - both : 2 * size - both + 4]))]
+    got = {r["doc_id"]: r["component_id"] for r in near_copies(docs(rows), similarity=similarity).collect()}
+    assert set(got.values()) <= {2 * k for k in range(n)} and len(got) >= 2 * n * 0.99
+
+
+def test_keys_and_radius_follow_the_similarity():
+    assert block_keys(0.8) == (10, 3) and block_keys(0.5) == (10, 1) and block_keys(1.0)[0] == 1
+    assert [safe_radius(s) for s in (0.5, 0.8, 1.0)] == [65, 44, 0]
+    with pytest.raises(ValueError):
+        block_keys(0)
+
+
+def test_near_copies_of_the_tables(spark):
+    """Every pair of sf0.01 that brute force finds is in one component."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    sets = {i: set(shingles(t or "", 5)) for i, t in rows}
+    want = roots(sorted(sets), lambda a, b: bool(sets[a] and sets[b]) and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    got = {r["doc_id"]: r["component_id"] for r in near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: got.get(i, i) for i in want} == want and len(got) > 50

@@ -9,6 +9,8 @@ block is abandoned as soon as every counter has.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -74,10 +76,11 @@ class Planes:
         return found[found >= since]
 
 
-def forest(prints: np.ndarray, radius: int, agrees=None, groups: list | None = None) -> list[tuple[int, int]]:
+def forest(prints: np.ndarray, radius: int, agrees=None, groups: list | None = None, instead=None) -> list[tuple[int, int]]:
     """A spanning forest of the links within one block, as pairs of positions; agrees(i, j) may refuse a link.
 
-    Positions of one group (of groups, a label each) count as linked already.
+    Positions of one group (of groups, a label each) count as linked already. instead(i) may give the later positions to be asked
+    about in place of those within the radius, or None.
     """
     planes = Planes(prints)
     root = list(range(len(prints)))
@@ -93,7 +96,8 @@ def forest(prints: np.ndarray, radius: int, agrees=None, groups: list | None = N
 
     out = []
     for i in range(len(prints) - 1):
-        for j in planes.within(planes.query[i], radius, i + 1).tolist():
+        later = instead(i) if instead else None
+        for j in planes.within(planes.query[i], radius, i + 1).tolist() if later is None else later:
             a, b = top(i), top(j)
             if a != b and (agrees is None or agrees(i, j)):
                 root[max(a, b)] = min(a, b)
@@ -245,11 +249,32 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 2, doc_i
 # ---------------------------------------------------------------- near copies by similarity
 
 
-#: Fixed odd multipliers of the block keys' permutations and the lanes of the 128-bit fingerprints.
-BANDS, ROWS = 8, 3
-_MULT = mix(np.arange(1, BANDS * ROWS + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
-#: Most differing bits of 128 at which a pair is checked; pairs of similarity 0.8 differ in 19.4 on average, with deviation 4.1.
-RADIUS = 36
+#: Share of the pairs at exactly the similarity that the block keys bring together, at least.
+RECALL = 0.999
+#: Sets of fewer shingles are compared whole, without their SimHash, whose bits say little then.
+FEW = 64
+
+
+def block_keys(similarity: float, recall: float = RECALL) -> tuple[int, int]:
+    """(keys, minima a key) that bring a pair of this similarity together with probability `recall` or more: as many minima as go with a dozen keys, one at least."""
+    if not 0 < similarity <= 1:
+        raise ValueError("similarity is over 0, and 1 at most")
+    out = (1, 1)
+    for rows in range(1, 9):
+        p = similarity**rows
+        keys = 1 if p == 1 else math.ceil(math.log(1 - recall) / math.log(1 - p))
+        if rows == 1 or keys <= 12:
+            out = (keys, rows)
+    return out
+
+
+def safe_radius(similarity: float, bits: int = 128) -> int:
+    """Differing bits of which pairs of this similarity stay six deviations clear.
+
+    The cosine of two sets of Jaccard similarity s is 2s / (1 + s) at least, and a bit differs with probability arccos / pi.
+    """
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return min(bits, math.ceil(bits * p + 6 * math.sqrt(bits * p * (1 - p))))
 
 
 def shingle_sets(col: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -272,18 +297,19 @@ def shingle_sets(col: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     return val, np.searchsorted(doc, np.arange(len(w.bounds)))
 
 
-def _minima(val: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """BANDS block keys of each set."""
-    keys = np.zeros((len(bounds) - 1, BANDS), U)
-    for band in range(BANDS):
-        for m in _MULT[band * ROWS : (band + 1) * ROWS]:
+def _minima(val: np.ndarray, bounds: np.ndarray, keys: int, rows: int) -> np.ndarray:
+    """Block keys of each set: hashes of `rows` minima under permutations of their own."""
+    out = np.zeros((len(bounds) - 1, keys), U)
+    mult = mix(np.arange(1, keys * rows + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
+    for k in range(keys):
+        for m in mult[k * rows : (k + 1) * rows]:
             p = val * m
             p ^= p >> U(32)
-            keys[:, band] = mix(keys[:, band] * U(31) + np.minimum.reduceat(p, bounds[:-1]))
-    return keys
+            out[:, k] = mix(out[:, k] * U(31) + np.minimum.reduceat(p, bounds[:-1]))
+    return out
 
 
-def _sets_of(docs: DataFrame, shingle: int) -> DataFrame:
+def _sets_of(docs: DataFrame, shingle: int, n_keys: int, rows: int) -> DataFrame:
     """docs (row_id, text) -> row_id, digest (of the set; null for none), keys array<long>."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,9 +321,9 @@ def _sets_of(docs: DataFrame, shingle: int) -> DataFrame:
             tight = np.append(bounds[:-1][full], bounds[-1])
             digest = np.add.reduceat(mix(val ^ U(0x51)), tight[:-1]) ^ mix(np.diff(tight).astype(U))
             second = np.add.reduceat(mix(val + U(0x2545F4914F6CDD1D)), tight[:-1])
-            keys = _minima(val, tight).view(np.int64)
+            keys = _minima(val, tight, n_keys, rows).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(full)), pa.array(digest.view(np.int64)), pa.array(second.view(np.int64)), pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), BANDS).cast(pa.list_(pa.int64()))],
+                [b.column(0).take(pa.array(full)), pa.array(digest.view(np.int64)), pa.array(second.view(np.int64)), pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), n_keys).cast(pa.list_(pa.int64()))],
                 names=["row_id", "d1", "d2", "keys"],
             )
 
@@ -344,15 +370,22 @@ def _cell_edges(cells: DataFrame, base: DataFrame, shingle: int, similarity: flo
     def found(ids: list, groups: list, sets: list) -> Iterator[pa.RecordBatch]:
         if len(set(groups)) < 2:
             return
+        # By size, so that what a small set may link to comes next to it.
+        order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
+        ids, groups, sets = ([x[i] for i in order] for x in (ids, groups, sets))
+        sizes = [len(x) for x in sets]
 
         def agrees(i: int, j: int) -> bool:
-            a, b = len(sets[i]), len(sets[j])
-            if min(a, b) < similarity * max(a, b):
+            a, b = sizes[i], sizes[j]
+            if a < similarity * b:
                 return False
             both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
             return both >= similarity * (a + b - both)
 
-        e = forest(_wide(sets), radius, agrees, groups)
+        def small(i: int) -> range | None:
+            return range(i + 1, bisect_right(sizes, sizes[i] / similarity + 1e-6)) if sizes[i] < FEW else None
+
+        e = forest(_wide(sets), radius, agrees, groups, small)
         if e:
             yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in e], pa.int64()), pa.array([ids[j] for _, j in e], pa.int64())], names=["a", "b"])
 
@@ -360,24 +393,26 @@ def _cell_edges(cells: DataFrame, base: DataFrame, shingle: int, similarity: flo
 
 
 #: A block of more members is dealt into tiles of about so many, and each tile first meets so many leaders.
-TILE, LEADERS = 1500, 8
+TILE, LEADERS = 500, 8
 
 
-def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = RECALL, tile: int = TILE, leaders: int = LEADERS) -> DataFrame:
     """(doc_id, component_id) of the documents that have a near copy: one row per id, component_id the smallest id reachable.
 
     Two texts link if the sets of their word shingles (A-Z lower-cased) have Jaccard similarity
     `similarity` or more. Texts of equal sets are one class and its smallest id stands for them.
-    Representatives that share one of eight block keys (three minima each; a pair of similarity 0.8
-    shares one with probability 0.997) are compared bit-sliced as 128-bit SimHashes, and what lies
-    within radius is checked on the whole sets, unless already linked. A block of over `tile`
+    Representatives that share a block key (hashes of some minima; as many keys as bring a pair of just that similarity together
+    with probability `recall`, and more similar ones with a greater) are compared bit-sliced as 128-bit SimHashes, and what lies
+    within six deviations of what such pairs differ by is checked on the whole sets, unless already linked; sets of under FEW shingles
+    are checked at once. A block of over `tile`
     representatives is dealt into tiles by hash. Each tile first meets the block's leaders; the members that are then
     one component needn't meet each other again, and only the others, in tiles too, meet everyone. No pair
     that could tie two components is left out, and a large group of copies costs what its members do, not their pairs.
     Texts without words, nulls and rows without id have no copies. An id that repeats has the links of all its texts.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("row_id"), F.col(text).alias("text")).where("row_id is not null and text is not null")
-    sets = cut(_sets_of(base, shingle))
+    radius = safe_radius(similarity)
+    sets = cut(_sets_of(base, shingle, *block_keys(similarity, recall)))
     # One class per equal sets.
     classes = sets.groupBy("d1", "d2").agg(F.min("row_id").alias("rep"), F.count("*").alias("n"))
     same = sets.join(classes.where("n > 1"), ["d1", "d2"]).select(F.col("row_id").alias("a"), F.col("rep").alias("b"))
@@ -393,8 +428,8 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     # Tile t of a hot block meets the leaders in cell t.
     dealt = F.xxhash64("row_id")
     tiles = F.ceil(F.col("size") / F.lit(tile)).cast("long")
-    leaders = hot.groupBy(*block, "size", F.pmod(dealt, F.lit(LEADERS)).alias("nth")).agg(F.min("row_id").alias("row_id"))
-    stars = hot.select("row_id", *block, F.pmod(dealt, tiles).alias("cell")).union(leaders.select("row_id", *block, F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)).alias("cell"))).distinct()
+    firsts = hot.groupBy(*block, "size", F.pmod(dealt, F.lit(leaders)).alias("nth")).agg(F.min("row_id").alias("row_id"))
+    stars = hot.select("row_id", *block, F.pmod(dealt, tiles).alias("cell")).union(firsts.select("row_id", *block, F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)).alias("cell"))).distinct()
     edges = cut(_cell_edges(small.union(stars.select("row_id", F.col("row_id").alias("group_id"), *block, "cell")), base, shingle, similarity, radius).union(same))
     # The members outside the block's largest component meet all of it, and each other: cell (i, j) has tile i of them and tile j of all.
     roots = components(edges).select(F.col("node").alias("row_id"), F.col("root").alias("group_id")).distinct()
