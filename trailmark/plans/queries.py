@@ -13,9 +13,9 @@ from trailmark.operators import diagnostics as D
 from trailmark.operators import paths as P
 from trailmark.operators.closure import reachable_dirs
 from trailmark.operators.lineage import cut, scratch
-from trailmark.plans.resolve import direct_walk, resolve_candidates, verify
+from trailmark.plans.resolve import direct_walk, mismatches, resolve_candidates, run, verify
 from trailmark.sources import archive as A
-from trailmark.sources.derived import archive_for, duck_sql, requests_for
+from trailmark.sources.derived import archive_for, archive_path, duck_sql, requests_for
 
 SHORT, FULL = "7", "40"
 #: Every other order's requests give the whole hash: one short id sends all to prefix mode.
@@ -191,6 +191,38 @@ def verify_counts(spark, d):
     return verify(archive_for(spark, d), _resolved(spark, d), None)
 
 
+def request_scan(spark, d):
+    """Request files without some columns and with others, read back."""
+    path = scratch(spark, "requests")
+    _requests(spark, d).withColumn("more", F.lit(1)).write.parquet(path)
+    return A.read_requests(spark, path)
+
+
+def null_paths(spark, d):
+    """Requests some of whose paths are null, which have no components."""
+    rows = _requests(spark, d).select("bin", F.when(F.col("bin") != "abc", F.col("rel_path")).alias("rel_path"))
+    return rows.groupBy("bin").agg(F.count("*").alias("n"), F.sum(F.size(S.path_components("rel_path"))).alias("n_parts"))
+
+
+def directory_entries(spark, d):
+    """Entries as they lie in a written archive, one per directory and name."""
+    return P.entries_of(archive_for(spark, d)).groupBy("dir").agg(F.count("*").alias("n"), F.min(F.col("name").cast("string")).alias("first"), F.max(F.col("name").cast("string")).alias("last"), F.max("child").alias("largest"))
+
+
+def command_run(spark, d):
+    """The whole command, from request files to resolved files."""
+    base = scratch(spark, "run")
+    _requests(spark, d).write.parquet(f"{base}-in")
+    run(spark, archive_path(spark, d), f"{base}-in", f"{base}-cands", f"{base}-out")
+    return A.read_resolved(spark, f"{base}-out")
+
+
+def mismatch_examples(spark, d):
+    """The first ten of the ok rows that a doctored result gets wrong."""
+    wrong = _resolved(spark, d).where("bin % 5 = 0").dropDuplicates(["repo", "commit_id", "rel_path"]).withColumn("cnt_swhid", F.concat("cnt_swhid", F.lit("0")))
+    return mismatches(archive_for(spark, d), wrong, None)
+
+
 QUERIES: dict[str, Query] = {
     "canonical_url": canonical_url,
     "origin_swhid": origin_swhid,
@@ -225,6 +257,11 @@ QUERIES: dict[str, Query] = {
     "seed_diagnostics": seed_diagnostics,
     "dropped_groups": dropped_groups,
     "verify_counts": verify_counts,
+    "request_scan": request_scan,
+    "null_paths": null_paths,
+    "directory_entries": directory_entries,
+    "command_run": command_run,
+    "mismatch_examples": mismatch_examples,
 }
 
 # ---------------------------------------------------------------- the same in SQL
@@ -290,14 +327,14 @@ _WON = "SELECT repo, commit_id, origin_url, rev_swhid, root, n_passing, head::BI
 _BELOW = "below(dir) AS (SELECT DISTINCT root FROM cands UNION SELECT child FROM below JOIN entries USING (dir) WHERE child_type = 'dir')"
 _NAMES = f"names AS (SELECT DISTINCT unnest({_PARTS.format(c='rel_path')}) AS name FROM cands)"
 
-#: Ok rows resolved once more, from revision and path alone: every part of a path with its place, joined level by level.
+#: Ok rows resolved once more, from revision and path alone, over all entries.
 _AGAIN = f""",
-okay AS (SELECT rev_swhid, rel_path, cnt_swhid FROM outs WHERE status = 'ok'),
-parts AS (SELECT rev_swhid, rel_path, unnest(comps) AS name, unnest(range(1, len(comps) + 1)) AS place, len(comps) AS size FROM (SELECT DISTINCT rev_swhid, rel_path, {_PARTS.format(c='rel_path')} AS comps FROM okay)),
-down(rev_swhid, rel_path, place, size, cur, kind) AS (
-  SELECT DISTINCT p.rev_swhid, p.rel_path, 0::BIGINT, p.size, e.dst, 'dir' FROM parts p JOIN nodes r ON r.swhid = p.rev_swhid JOIN (SELECT src, min(dst) AS dst FROM edges WHERE src_type = 'rev' AND dst_type = 'dir' GROUP BY src) e ON e.src = r.node_id
-  UNION ALL SELECT d.rev_swhid, d.rel_path, p.place, d.size, n.child, n.child_type FROM down d JOIN parts p ON p.rev_swhid = d.rev_swhid AND p.rel_path = d.rel_path AND p.place = d.place + 1 JOIN first_entries n ON n.dir = d.cur AND n.name = p.name WHERE d.kind = 'dir'),
-redone AS (SELECT d.rev_swhid, d.rel_path, c.swhid AS again FROM down d JOIN nodes c ON c.node_id = d.cur WHERE d.kind = 'cnt' AND d.place = d.size)
+okay AS MATERIALIZED (SELECT rev_swhid, rel_path, cnt_swhid FROM outs WHERE status = 'ok'),
+tops AS MATERIALIZED (SELECT swhid AS rev_swhid, min(dst) AS top FROM nodes JOIN edges ON src = node_id AND src_type = 'rev' AND dst_type = 'dir' GROUP BY swhid),
+down(rev_swhid, rel_path, names, place, cur, kind) AS (
+  SELECT DISTINCT o.rev_swhid, o.rel_path, {_PARTS.format(c='o.rel_path')}, 0, top, 'dir' FROM okay o JOIN tops USING (rev_swhid)
+  UNION SELECT d.rev_swhid, d.rel_path, d.names, d.place + 1, e.child, e.child_type FROM down d JOIN first_entries e ON e.dir = d.cur AND e.name = d.names[d.place + 1] WHERE d.kind = 'dir'),
+redone AS (SELECT d.rev_swhid, d.rel_path, c.swhid AS again FROM down d JOIN nodes c ON c.node_id = d.cur WHERE d.kind = 'cnt' AND d.place = len(d.names))
 """
 _COUNTS = """SELECT (SELECT count(*) FROM okay)::BIGINT AS sampled, count_if(again = cnt_swhid)::BIGINT AS matched, count_if(again <> cnt_swhid)::BIGINT AS mismatched, count_if(again IS NULL)::BIGINT AS unresolved,
   (SELECT count(*) FROM outs WHERE status <> 'ok')::BIGINT AS other FROM okay LEFT JOIN redone USING (rev_swhid, rel_path)"""
@@ -342,4 +379,13 @@ ORACLE_SQL: dict[str, str] = {
         upto="cands",
     ),
     "verify_counts": _sql(f"{_AGAIN} {_COUNTS}", upto="outs"),
+    "request_scan": _sql("SELECT repo, commit_id, rel_path, bin FROM requests"),
+    "null_paths": _sql(f"SELECT bin, count(*) AS n, sum(CASE WHEN bin = 'abc' THEN 0 ELSE len({_PARTS.format(c='rel_path')}) END)::BIGINT AS n_parts FROM requests GROUP BY bin"),
+    "directory_entries": _sql("SELECT dir, count(*) AS n, min(name) AS first, max(name) AS last, max(child) AS largest FROM (SELECT dir, name, min(child) AS child FROM entries GROUP BY dir, name) GROUP BY dir"),
+    "command_run": _sql("SELECT * FROM outs", upto="outs"),
+    "mismatch_examples": _sql(
+        f"""{_AGAIN} SELECT DISTINCT o.repo, o.commit_id, o.rel_path, concat(o.cnt_swhid, '0') AS cnt_swhid, again FROM outs o LEFT JOIN redone r ON r.rev_swhid = o.rev_swhid AND r.rel_path = o.rel_path
+        WHERE o.status = 'ok' AND o.bin % 5 = 0 ORDER BY o.repo, o.commit_id, o.rel_path LIMIT 10""",
+        upto="outs",
+    ),
 }

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailmark.operators.lineage import scratch
+from trailmark.operators.lineage import remove, scratch
 from trailmark.sources.archive import Archive, read_archive, write_archive
 
 #: Objects by key; an object's hash is sha1(key), its number the hash's first 15 hex digits.
@@ -83,11 +83,16 @@ def _spark_tables(sf_dir: str) -> dict[str, str]:
     return {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}
 
 
-def derive(spark: SparkSession, sf_dir: str) -> Archive:
-    """The derived archive, not yet written."""
+def derive(spark: SparkSession, sf_dir: str, path: str) -> Archive:
+    """The derived archive, not yet written. The directories' entries, which all three tables are made of, are written under path first."""
+    parts = _fill(OBJECTS, False, **_spark_tables(sf_dir))
+    at, end = parts.index("entry_keys AS ("), parts.index("edge_keys AS (")
+    made = parts[at + len("entry_keys AS (") : end].rstrip().removesuffix(",").removesuffix(")")
+    spark.sql(f"WITH {parts[:at].rstrip().removesuffix(',')} {made}").write.parquet(path)
+    parts = f"{parts[:at]}entry_keys AS (SELECT * FROM parquet.`{path}`), {parts[end:]}"
 
     def of(columns: str) -> DataFrame:
-        return spark.sql(f"WITH {_fill(OBJECTS, False, **_spark_tables(sf_dir))} SELECT {columns}")
+        return spark.sql(f"WITH {parts} SELECT {columns}")
 
     return Archive(of("* FROM nodes"), of("* FROM edges"), of("dir, CAST(name AS BINARY) AS name, child, child_type FROM entries"))
 
@@ -95,14 +100,19 @@ def derive(spark: SparkSession, sf_dir: str) -> Archive:
 _written: dict[tuple[str, str], str] = {}
 
 
-def archive_for(spark: SparkSession, sf_dir: str) -> Archive:
-    """The derived archive, written once a session to the shared folder, as a real one would be ingested."""
+def archive_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the derived archive is, written once a session to the shared folder, as a real one would be ingested."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
         path = scratch(spark, "archive")
-        write_archive(derive(spark, sf_dir), path)
+        write_archive(derive(spark, sf_dir, f"{path}-keys"), path)
+        remove(spark, f"{path}-keys")
         _written[key] = path
-    return read_archive(spark, _written[key])
+    return _written[key]
+
+
+def archive_for(spark: SparkSession, sf_dir: str) -> Archive:
+    return read_archive(spark, archive_path(spark, sf_dir))
 
 
 def requests_for(spark: SparkSession, sf_dir: str, cut: str) -> DataFrame:
