@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from trailmark.functions.scalars import path_components
 from trailmark.operators import candidates as C
 from trailmark.operators.closure import closure, reachable_dirs
 from trailmark.operators.paths import components, hydrated_entries, matched_components, seeds, walk
@@ -287,3 +288,23 @@ def test_candidates_only(spark, archive, tmp_path):
     requests(spark, []).write.parquet(str(tmp_path / "in"))
     run(spark, str(tmp_path / "graph"), str(tmp_path / "in"), str(tmp_path / "cands"), str(tmp_path / "out"), cands_only=True)
     assert spark.read.schema(", ".join(f"{c} string" for c in A.CANDIDATE)).parquet(str(tmp_path / "cands")).count() == 0 and not (tmp_path / "out").exists()
+
+
+def test_rounds_of_a_walk_shuffle_paths_only(spark, archive, built):
+    """Entries are read in the buckets they were written in, and the table is gone afterwards."""
+    from trailmark.operators.paths import pruned
+
+    rows = spark.createDataFrame([(built.ids["dir", "root"], "src/main.c")], "root long, rel_path string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pruned(rows, archive) as entries:
+            assert {bytes(r["name"]) for r in entries.collect()} == {b"src", b"main.c"}
+            asked = rows.select("root", F.explode(path_components("rel_path")).alias("want"))
+            plan = asked.join(entries, (F.col("root") == F.col("dir")) & (F.col("want") == F.col("name")))._jdf.queryExecution().executedPlan().toString()
+            assert "Bucketed: true" in plan and plan.count("Exchange") == 1
+            walked = walk(rows, entries)
+        assert [r["status_detail"] for r in walked.collect()] == ["ok"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("trailmark_")]

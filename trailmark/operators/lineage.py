@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +41,24 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/trailmark-{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def bucketed(df: DataFrame, *cols: str) -> Iterator[DataFrame]:
+    """df as a table in the shared folder, dealt into as many buckets as there are shuffle partitions: joins on cols shuffle the other side only.
+
+    The table lasts as long as the context; a checkpoint wouldn't keep how its rows are dealt.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"trailmark_{uuid.uuid4().hex}"
+    path = scratch(spark, "buckets")
+    df.repartition(n, *cols).write.option("path", path).option("compression", "zstd").bucketBy(n, *cols).sortBy(*cols).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(spark, path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path of the shared folder through Hadoop's file system."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from trailmark.functions.scalars import output_status, path_components, qualified_id, revision_swhid
 from trailmark.operators.candidates import root_dirs
 from trailmark.operators.closure import closure, reachable_dirs
-from trailmark.operators.lineage import cut
+from trailmark.operators.lineage import bucketed, cut
 from trailmark.operators.membership import split
 from trailmark.sources.archive import Archive, first_entries
 
@@ -50,18 +52,18 @@ def named_entries(rows: DataFrame, archive: Archive) -> DataFrame:
     return split(archive.entries, "name", cut(components(rows)), "name")[0]
 
 
-def prune(rows: DataFrame, archive: Archive) -> DataFrame:
-    """The entries that walks of rows can look up by name, one per (dir, name), dealt by both and written once."""
+@contextmanager
+def pruned(rows: DataFrame, archive: Archive) -> Iterator[DataFrame]:
+    """The entries that walks of rows can look up by name, one per (dir, name), written once in buckets of both: a walk shuffles its paths only."""
     kept = entries_of(archive, named_entries(rows, archive)).select("dir", "name", "child", "child_type")
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut(kept.repartition(n, "dir", "name"))
+    with bucketed(kept, "dir", "name") as table:
+        yield table
 
 
-def visited_entries(rows: DataFrame, archive: Archive) -> DataFrame:
-    """The entries that walks of rows (root, rel_path) can come by: named by one of their components, in a directory that
-    such names lead to from one of their roots. Only these directories are followed, not all that lie below the roots.
+def visited(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """Of pruned entries those that walks of rows (root, rel_path) can come by: in a directory that
+    their names lead to from one of the roots. Only these directories are followed, not all that lie below the roots.
     """
-    named = prune(rows, archive)
     starts = rows.where("root is not null").select(F.col("root").alias("node"))
     dirs = closure(starts, named.where("child_type = 'dir'").select(F.col("dir").alias("src"), F.col("child").alias("dst")))
     return named.join(dirs.select(F.col("node").alias("dir")), "dir", "left_semi")
@@ -87,7 +89,8 @@ def walk(pairs: DataFrame, entries: DataFrame) -> DataFrame:
     """(root, rel_path) -> distinct root, rel_path, leaf, status_detail; entries has a row per (dir, name).
 
     Each round looks up one more component of the paths still on their way, and finished ones are set
-    aside, so that a round shuffles only what it has to and names like README.md meet their directory.
+    aside, so that a round shuffles only what it has to and names like README.md meet their directory. All rounds are
+    done when this returns; the result doesn't need entries any more.
     """
     rows = pairs.select("root", "rel_path").distinct().withColumn("comps", path_components("rel_path"))
     status = F.when(F.col("root").isNull(), NO_ROOT).when(F.size("comps") == 0, NOT_FOUND)
@@ -98,7 +101,8 @@ def walk(pairs: DataFrame, entries: DataFrame) -> DataFrame:
         found = active.join(entries, (F.col("cur") == F.col("dir")) & (F.get("comps", F.lit(i)) == F.col("name")), "left")
         last = F.size("comps") == i + 1
         status = _step(last)
-        rows = cut(found.select("root", "rel_path", "comps", F.col("child").alias("cur"), F.when(last & (F.col("child_type") == "cnt"), F.col("child")).alias("leaf"), status.alias("status_detail")))
+        leaf = F.when(last & (F.col("child_type") == "cnt"), F.col("child"))
+        rows = cut(found.select("root", "rel_path", "comps", F.col("child").alias("cur"), leaf.alias("leaf"), status.alias("status_detail")))
         done.append(rows.where("status_detail is not null"))
         i += 1
     return reduce(DataFrame.union, done).select("root", "rel_path", "leaf", "status_detail")

@@ -149,8 +149,9 @@ def hydrated_entries(spark, d):
 
 
 def path_walk(spark, d):
-    c, a = _cands(spark, d), archive_for(spark, d)
-    return P.walk(c, P.prune(c, a)).withColumn("leaf", F.coalesce("leaf", F.lit(0)))
+    c = _cands(spark, d)
+    with P.pruned(c, archive_for(spark, d)) as entries:
+        return P.walk(c, entries).withColumn("leaf", F.coalesce("leaf", F.lit(0)))
 
 
 def direct(spark, d):
