@@ -63,6 +63,8 @@ def segments(docs: DataFrame, window: int) -> DataFrame:
 
 
 RUN = "fp long, span long, doc long"
+#: Bytes of a row group that a writer holds in memory.
+ROW_GROUP = 16 << 20
 
 
 class FingerprintIndex:
@@ -92,7 +94,8 @@ class FingerprintIndex:
         """A new table, in place of what a job that died may have left there."""
         self.made += 1
         name = f"{kind}-{self.made:05d}"
-        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{name}")
+        # Hashes don't compress.
+        rows.write.mode("overwrite").option("compression", "uncompressed").option("parquet.block.size", ROW_GROUP).parquet(f"{self.path}/{name}")
         return name
 
     def _read(self, names: list[str], more: str = "") -> DataFrame:
@@ -185,7 +188,8 @@ def repeats(batch: DataFrame, index: FingerprintIndex, window: int = WINDOW) ->
         past = _shown(index.windows(old_logs), near.select("fp", "span", "doc"), mixed, f"{work}/wanted-past")
         windows = windows.union(past.select("fp", "hash", F.lit(PAST).cast("long").alias("who")))
     windows = kept(windows, f"{work}/windows")
-    first = windows.groupBy("fp", "hash").agg(F.min("who").alias("own"), F.max("who").alias("last")).where("own < last").select("fp", "hash", "own")
+    # A table of its own, so that the join has plain exchanges on both sides, which can be split where a window is common.
+    first = kept(windows.groupBy("fp", "hash").agg(F.min("who").alias("own"), F.max("who").alias("last")).where("own < last").select("fp", "hash", "own"), f"{work}/first")
     single = _merge(windows, first, ["fp", "hash"]).where("who > own").select(F.col("who").alias("doc"), "hash")
     found = whole.select("doc", "span", F.lit(None).cast("long").alias("hash")).union(single.select("doc", F.lit(None).cast("long").alias("span"), "hash"))
     found = cut(found.groupBy("doc").agg(F.collect_set("span").alias("spans"), F.collect_set("hash").alias("windows")))
