@@ -30,6 +30,8 @@ BITS, FACTORS, SAMPLE, LEAST, EPOCHS = 18, 6, 20_000, 3.0, 12
 PAIRED = 5.0
 #: Distinct terms of all texts of the sample, 4 bytes each: the other bound of the sample.
 MOST = 20_000_000
+#: Distinct terms of the texts of the sample among which pairs are looked for: what that takes grows with the texts times the square of their terms.
+PAIR_MOST = 2_000_000
 
 
 def terms(col: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +126,7 @@ def paired(lists: list[np.ndarray], y: np.ndarray, size: int, least: float = PAI
     return by[out]
 
 
-def train(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors: int = FACTORS, least: float = LEAST, epochs: int = EPOCHS, rate: float = 0.2, decay: float = 1e-4, seed: int = 7) -> Machine:
+def train(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors: int = FACTORS, least: float = LEAST, epochs: int = EPOCHS, rate: float = 0.2, decay: float = 1e-4, seed: int = 7, pair_most: int = PAIR_MOST) -> Machine:
     """A machine from distinct terms by text, and 0/1 labels, by AdaGrad on the logistic loss. No rows: score 0.5; one label only: near it."""
     n = len(lists)
     y = np.asarray(labels, float)
@@ -137,7 +139,10 @@ def train(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors
         hits[x] += label
     p = (y.sum() + 0.5) / (n + 1)
     z = (hits - seen * p) / np.sqrt(seen * p * (1 - p) + 1)
-    kept = np.union1d(np.flatnonzero((seen >= 3) & (np.abs(z) >= least)), paired(lists, y, 1 << bits))
+    # Texts in a random order, as many as the bound lets in.
+    order = np.random.default_rng(seed).permutation(n)
+    some = order[: max(1, int(np.searchsorted(np.cumsum([len(lists[i]) for i in order]), pair_most)))]
+    kept = np.union1d(np.flatnonzero((seen >= 3) & (np.abs(z) >= least)), paired([lists[i] for i in some], y[some], 1 << bits))
     slot[kept] = np.arange(1, len(kept) + 1)
     rng = np.random.default_rng(seed)
     w, v = np.zeros(len(kept) + 1), rng.normal(0, 0.01, (len(kept) + 1, factors))
