@@ -54,3 +54,55 @@ def test_defined_cases(docs):
 def test_no_python_in_the_plan(docs):
     plan = fingerprint_edits(docs([(1, "a b\nc"), (2, "d")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def lanes(text):
+    """A text's lanes by xxhash: what Spark's xxhash64 chains over columns with seed 42."""
+    import re
+    import struct
+
+    import xxhash
+
+    def h(*parts):
+        seed = 42
+        for p in parts:
+            seed = xxhash.xxh64_intdigest(p.encode() if isinstance(p, str) else struct.pack("<i", p), seed)
+        return seed
+
+    out = [0] * 81
+    for p in text.split("\n"):
+        for k in range(8):
+            x = h(p, k)
+            out[2 * k] += x & 0xFFFFFFFF
+            out[2 * k + 1] += x >> 32
+        words = [w for w in re.split(r"[\x20\x09\x0B-\x0D]+", p) if w]
+        for a, b in zip(words, [*words[1:], ""]):
+            x = h(a, b)
+            out[16] += 1
+            for k in range(64):
+                out[17 + k] += 1 if x >> k & 1 else -1
+    return out
+
+
+def likeness_of(a, b):
+    if a == b:
+        return 1.0
+    x, y = ([v if v < 1 << 31 else v - (1 << 32) for v in w[17:]] for w in (a, b))
+    both = (sum(v * v for v in x) * sum(v * v for v in y)) ** 0.5
+    return max(0.0, min(1.0, sum(v * w for v, w in zip(x, y)) / both)) if both else 0.0
+
+
+def test_fingerprints_and_likeness_spelt_out(spark, docs):
+    """Edits within one paragraph, at a line feed, in texts of empty lines, and those of the tables."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id < 60").collect()]
+    rows += [(100, "a b\nc d\ne f\ng"), (101, "\n\n\n\n"), (102, "one two three four"), (103, "abc\n"), (104, "x y z\nw v u t s r q p"), (105, "é 🎉\né 🎉"), (106, None), (107, "l\tm\x0bn  o\n")]
+    got = {r["doc_id"]: r for r in fingerprint_edits(docs(rows)).collect()}
+    rows = sorted((i, t or "") for i, t in rows)
+    for k, (i, t) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        edited = t[: len(t) - len(t) // 4] + after[: len(t) // 4]
+        own, changed, following = ([v & 0xFFFFFFFF for v in lanes(x)] for x in (t, edited, after))
+        assert got[i]["fingerprint"] == "".join(f"{v:08x}" for v in own)
+        assert got[i]["edited_fingerprint"] == "".join(f"{v:08x}" for v in changed)
+        assert abs(got[i]["near_edited"] - likeness_of(own, changed)) < 1e-9
+        assert abs(got[i]["near_next"] - likeness_of(own, following)) < 1e-9

@@ -35,8 +35,13 @@ BITS, JOINED_BITS = 22, 27
 
 
 #: Code points of scripts written without spaces, and of punctuation and spaces between them, which are no tokens.
-SINGLE = ((0x0E00, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x30FA), (0x30FC, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA000, 0xA4CF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF))
-BETWEEN = ((0x3000, 0x3004), (0x3008, 0x3020), (0x302A, 0x3030), (0x30FB, 0x30FB), (0xFE30, 0xFE4F), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+SINGLE = (
+    (0x0E00, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x30FA), (0x30FC, 0x312F), (0x31A0, 0x31BF),
+    (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA000, 0xA4CF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),
+)
+BETWEEN = (
+    (0x3000, 0x3004), (0x3008, 0x3020), (0x302A, 0x3030), (0x30FB, 0x30FB), (0xFE30, 0xFE4F), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65),
+)
 
 
 def among(code: np.ndarray, ranges: tuple) -> np.ndarray:
@@ -275,7 +280,8 @@ def _joined(docs: DataFrame, items: DataFrame, text: str, name: str) -> DataFram
                 tokens = np.asarray(t.values).astype(np.int64).view(U)
                 for h, before in own_seeds(tokens):
                     n = len(h)
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(before.view(np.int64)), pa.array([key] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.array([len(tokens)] * n, pa.int32())], names=["h", "own_before", "item", "at", "size"])
+                    cols = [pa.array(h.view(np.int64)), pa.array(before.view(np.int64)), pa.array([key] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32))]
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array([len(tokens)] * n, pa.int32())], names=["h", "own_before", "item", "at", "size"])
 
     def text_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, sizes = shared.value
@@ -284,7 +290,8 @@ def _joined(docs: DataFrame, items: DataFrame, text: str, name: str) -> DataFram
             tokens = w.bare_hashes()
             for at, h, before in places(w, tokens, sizes, bits):
                 take = pa.array(w.doc[at])
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(before.view(np.int64)), b.column(0).take(take), b.column(1).take(take), pa.array((at - w.first[w.doc[at]]).astype(np.int32))], names=["h", "before", "t1", "t2", "place"])
+                cols = [pa.array(h.view(np.int64)), pa.array(before.view(np.int64)), b.column(0).take(take), b.column(1).take(take)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array((at - w.first[w.doc[at]]).astype(np.int32))], names=["h", "before", "t1", "t2", "place"])
 
     def text_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
@@ -301,7 +308,8 @@ def _joined(docs: DataFrame, items: DataFrame, text: str, name: str) -> DataFram
                 if got:
                     out.append((t1, t2, item, got[0], max(lo, 0) + got[1], got[2]))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["t1", "t2", "item", "n_equal", "start", "n_tokens"])
+                kinds = [pa.int64()] * 3 + [pa.int32()] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["t1", "t2", "item", "n_equal", "start", "n_tokens"])
 
     named = items.select("item_id", F.xxhash64("item_id", "tokens").alias("item"), "tokens").dropDuplicates(["item"])
     named = cut(named)

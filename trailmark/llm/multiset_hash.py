@@ -32,7 +32,9 @@ def _vectors(texts: DataFrame, keys: list[str]) -> DataFrame:
     """keys, text (not null) -> keys, v array<int>: LANES sums modulo 2**32, from -2**31 on."""
     paragraphs = texts.select(*keys, F.explode(F.split("text", "\n")).alias("p"))
     words = paragraphs.select(*keys, "p", F.filter(F.split("p", SPACES), lambda x: x != "").alias("w"))
-    pair = F.arrays_zip(F.col("w").alias("a"), F.concat(F.expr("slice(w, 2, greatest(size(w) - 1, 0))"), F.when(F.size("w") > 0, F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))).alias("b"))
+    none = F.array().cast("array<string>")
+    following = F.concat(F.expr("slice(w, 2, greatest(size(w) - 1, 0))"), F.when(F.size("w") > 0, F.array(F.lit(""))).otherwise(none))
+    pair = F.arrays_zip(F.col("w").alias("a"), following.alias("b"))
     marked = F.array(F.struct(F.col("p").alias("a"), F.lit(None).cast("string").alias("b")))
     items = words.select(*keys, F.explode(F.concat(marked, pair)).alias("s")).select(*keys, F.col("s.a").alias("a"), F.col("s.b").alias("b"))
     items = items.select(*keys, F.col("b").isNull().alias("whole"), "a", F.when(F.col("b").isNotNull(), F.xxhash64("a", "b")).alias("h"))
@@ -131,19 +133,21 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     if not links.where("copies > 1").isEmpty():
         texts = texts.dropDuplicates(KEY)
     # The beginning of each document goes to the one before it.
-    wanted = links.select(F.col("next_d1").alias("d1"), F.col("next_d2").alias("d2"), F.col("d1").alias("to1"), F.col("d2").alias("to2"), F.expr("cast(floor(n_chars / 4) as int)").alias("cut"))
+    back = [F.col("next_d1").alias("d1"), F.col("next_d2").alias("d2"), F.col("d1").alias("to1"), F.col("d2").alias("to2")]
+    wanted = links.select(*back, F.expr("cast(floor(n_chars / 4) as int)").alias("cut"))
     heads = texts.join(wanted, KEY).select(F.col("to1").alias("d1"), F.col("to2").alias("d2"), "cut", F.expr("substring(text, 1, cut)").alias("head"))
     both = texts.join(heads, KEY).select(*KEY, "text", F.expr("concat(substring(text, 1, char_length(text) - cut), head)").alias("edited"))
     digests = both.select(*KEY, F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"))
-    sides = both.select(*KEY, F.explode(F.array(F.struct(F.lit(False).alias("e"), F.col("text").alias("text")), F.struct(F.lit(True).alias("e"), F.col("edited").alias("text")))).alias("s"))
+    two = [F.struct(F.lit(e).alias("e"), F.col(c).alias("text")) for e, c in ((False, "text"), (True, "edited"))]
+    sides = both.select(*KEY, F.explode(F.array(*two)).alias("s"))
     vectors = _vectors(sides.select(*KEY, "s.e", "s.text"), [*KEY, "e"])
     sides = vectors.groupBy(*KEY).agg(F.max(F.when(~F.col("e"), F.col("v"))).alias("v"), F.max(F.when(F.col("e"), F.col("v"))).alias("ev"))
     sides = cut(sides.join(digests, KEY))
     # So does its vector.
-    back = links.select(F.col("next_d1").alias("d1"), F.col("next_d2").alias("d2"), F.col("d1").alias("to1"), F.col("d2").alias("to2"))
-    after = sides.select(*KEY, F.col("v").alias("next_v")).join(back, KEY).select(F.col("to1").alias("d1"), F.col("to2").alias("d2"), "next_v")
+    after = sides.select(*KEY, F.col("v").alias("next_v")).join(links.select(*back), KEY).select(F.col("to1").alias("d1"), F.col("to2").alias("d2"), "next_v")
     rows = sides.join(after, KEY).join(links.select("doc_id", *KEY, "n_chars", "copies"), KEY)
-    rows = rows.select(
-        "doc_id", "n_chars", "edited_sha256", to_hex("v").alias("fingerprint"), to_hex("ev").alias("edited_fingerprint"), likeness(F.col("v"), F.col("ev")).alias("near_edited"), likeness(F.col("v"), F.col("next_v")).alias("near_next"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
-    )
+    prints = [to_hex("v").alias("fingerprint"), to_hex("ev").alias("edited_fingerprint")]
+    near = [likeness(F.col("v"), F.col(c)).alias(n) for c, n in (("ev", "near_edited"), ("next_v", "near_next"))]
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
+    rows = rows.select("doc_id", "n_chars", "edited_sha256", *prints, *near, copies)
     return rows.drop("copy")

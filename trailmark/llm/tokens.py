@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -31,21 +32,22 @@ def _encoder(path: str):
     return tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-@lru_cache(4)
-def _fallback(path: str, special: bool):
-    """tokenizers' own encoder, which takes strings of special tokens for these, or for ordinary text."""
+@lru_cache(2)
+def _fallback(path: str):
+    """tokenizers' own encoder, which takes strings of special tokens for ordinary text."""
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = not special
+    t.encode_special_tokens = True
     return t
 
 
 @lru_cache(2)
-def _special(path: str) -> tuple[str, ...]:
-    """The strings of the added tokens of a tokenizers file."""
+def _special(path: str) -> tuple[dict[str, int], re.Pattern]:
+    """The added tokens of a tokenizers file, and what splits a text at their strings (the longest first)."""
     with open(path, encoding="utf-8") as f:
-        return tuple(x["content"] for x in json.load(f)["added_tokens"])
+        ids = {x["content"]: x["id"] for x in json.load(f)["added_tokens"]}
+    return ids, re.compile("|".join(re.escape(s) for s in sorted(ids, key=len, reverse=True)) or "(?!)")
 
 
 @lru_cache(2)
@@ -55,16 +57,21 @@ def _table(path: str) -> dict[int, bytes]:
 
 
 def encode(text: str, vocabulary: str = VOCABULARY, tokenizer: str = TOKENIZER, special: bool = False) -> list[int]:
-    """Ids of a whole text. Strings of special tokens are ordinary text, or with special the ids that tokenizers gives them."""
+    """Ids of a whole text. Strings of special tokens are ordinary text, or with special these tokens, as tokenizers has it: what stands between is encoded by itself."""
     path = vocabulary_path(tokenizer)
-    if special and any(s in text for s in _special(path)):
-        return _fallback(path, True).encode(text, add_special_tokens=False).ids
+    if special:
+        ids, pattern = _special(path)
+        out, at = [], 0
+        for m in pattern.finditer(text):
+            out += [*(encode(text[at : m.start()], vocabulary, tokenizer) if m.start() > at else ()), ids[m.group()]]
+            at = m.end()
+        return out + encode(text[at:], vocabulary, tokenizer) if out else encode(text, vocabulary, tokenizer)
     try:
         return _encoder(vocabulary_path(vocabulary)).encode_ordinary(text)
     except BaseException as e:  # a Rust panic is no Exception
         if isinstance(e, (KeyboardInterrupt, SystemExit, MemoryError)):
             raise
-        return _fallback(path, False).encode(text, add_special_tokens=False).ids
+        return _fallback(path).encode(text, add_special_tokens=False).ids
 
 
 def encode_array(text: str, vocabulary: str = VOCABULARY, tokenizer: str = TOKENIZER, special: bool = False) -> np.ndarray:
