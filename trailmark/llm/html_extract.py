@@ -20,6 +20,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -38,7 +39,9 @@ UNREAD = r"(?is)<(script|style)\b.*?(?:</\1|\z)|<!--.*?(?:-->|\z)|<[^>]*>?"
 # Element names of the HTML standard, and words of classes and ids.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title xmp noembed noframes".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q ruby rb rt rp s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q ruby rb rt rp s samp small span strike strong sub sup time tt u var wbr".split()
+)
 FURNITURE = frozenset("head nav footer aside form script style noscript template iframe textarea title button select option datalist dialog menu svg math canvas audio video object embed map xmp noembed noframes".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 WORDS = frozenset(
@@ -53,6 +56,8 @@ CLOSES = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"]), "p": frozenset(["p"])
 }
 ENDS_P = frozenset("address article aside blockquote div dl fieldset figure figcaption footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
+#: Open elements that an element closes, if nothing of SCOPE is in between.
+GONE = {n: CLOSES.get(n, frozenset()) | (frozenset(["p"]) if n in ENDS_P else frozenset()) for n in {*CLOSES, *ENDS_P}}
 SCOPE = frozenset("html body table td th ul ol dl article main section div aside nav form blockquote button object".split())
 
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
@@ -64,7 +69,7 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 HEADINGS = {"h1": 1, "h2": 1, "h3": 1, "p": 2}
 #: Elements that may be slots: those that hold blocks and are none themselves.
 HOLDS = frozenset("html body main article section div td table tbody tr center blockquote ul ol li dl dd figure details span".split())
-ARTICLE, HARD, SOFT, LINK = 1, 2, 4, 8
+ARTICLE, HARD, SOFT = 1, 2, 4
 
 
 class Page:
@@ -174,9 +179,8 @@ class Page:
             self._end_block()
 
     def _open(self, name: str, attrs: str) -> None:
-        gone = CLOSES.get(name, frozenset()) | (frozenset(["p"]) if name in ENDS_P else frozenset())
-        if gone:
-            top = max((at[-1] for at in map(self.open.get, gone) if at), default=-1)
+        if name in GONE:
+            top = max((at[-1] for at in map(self.open.get, GONE[name]) if at), default=-1)
             if top >= 0 and top >= (self.scopes[-1] if self.scopes else 0):
                 self._pop(top)
         if name not in INLINE:
@@ -184,19 +188,9 @@ class Page:
         if name in VOID:
             return
         above = self.stack[-1]
-        found: dict[str, str] = {}
-        for k, a, b, c in _ATTR.findall(attrs) if attrs and not attrs.isspace() else ():
-            found.setdefault(k.lower(), a or b or c)
-        named = {w.lower() for w in _WORD.findall(found.get("class", "") + " " + found.get("id", ""))}
         inside = self.within[above]
-        article = name in ("article", "main") or found.get("role") in ("main", "article") or found.get("itemprop") == "articleBody"
-        hard, soft = "hidden" in found or "display:none" in found.get("style", "").replace(" ", ""), False
-        if article:
-            hard = hard or name == "article" and bool(named & {"comment", "comments", "reply", "replies", "related", "teaser", "promo", "ad", "sponsored"})
-        elif name not in ("html", "body"):
-            hard = hard or name in FURNITURE or found.get("role") in ROLES or bool(named & (WORDS - LAYOUT)) or (name == "header" and not inside)
-            soft = bool(named & (LAYOUT - {"header"} if inside else LAYOUT)) and not named & LAYS_OUT
-        flags = article * ARTICLE | hard * HARD | soft * SOFT
+        own = _own if len(attrs) < 1000 else _own.__wrapped__
+        flags, words = own(name, "" if attrs.isspace() else attrs, inside)
         off, is_soft = _state(flags, self.off[above], self.soft[above])
         if name in INLINE and flags & (HARD | SOFT):
             self._end_block()
@@ -209,11 +203,11 @@ class Page:
         self.name.append(name)
         self.up.append(above)
         self.flags.append(flags)
-        self.words.append(" ".join(sorted(named)))
+        self.words.append(words)
         self.off.append(off)
         self.soft.append(is_soft)
         self.linked.append(self.linked[above] or name == "a")
-        self.within.append(inside or bool(article and not off))
+        self.within.append(inside or bool(flags & ARTICLE and not off))
 
     def _name_paths(self) -> None:
         n = len(self.name)
@@ -296,6 +290,23 @@ class Page:
         return at
 
 
+@lru_cache(4096)
+def _own(name: str, attrs: str, inside: bool) -> tuple[int, str]:
+    """An element's own flags and its words of class and id; inside tells whether an article is around it."""
+    found: dict[str, str] = {}
+    for k, a, b, c in _ATTR.findall(attrs):
+        found.setdefault(k.lower(), a or b or c)
+    named = {w.lower() for w in _WORD.findall(found.get("class", "") + " " + found.get("id", ""))}
+    article = name in ("article", "main") or found.get("role") in ("main", "article") or found.get("itemprop") == "articleBody"
+    hard, soft = "hidden" in found or "display:none" in found.get("style", "").replace(" ", ""), False
+    if article:
+        hard = hard or name == "article" and bool(named & {"comment", "comments", "reply", "replies", "related", "teaser", "promo", "ad", "sponsored"})
+    elif name not in ("html", "body"):
+        hard = hard or name in FURNITURE or found.get("role") in ROLES or bool(named & (WORDS - LAYOUT)) or (name == "header" and not inside)
+        soft = bool(named & (LAYOUT - {"header"} if inside else LAYOUT)) and not named & LAYS_OUT
+    return article * ARTICLE | hard * HARD | soft * SOFT, " ".join(sorted(named))
+
+
 def _state(flags: int, off: bool, soft: bool) -> tuple[bool, bool]:
     """(off, off by layout words alone) of an element by its own flags and its parent's state."""
     now = bool(flags & (HARD | SOFT)) or (off and not (flags & ARTICLE and soft))
@@ -312,15 +323,19 @@ def host_of(url: str) -> Column:
 
 
 def distinct(pages: DataFrame) -> DataFrame:
-    """pages (host, html) -> (page, host, html): of the pages of a host that read the same, one; page is a hash of what it reads.
+    """pages (host, html) -> (page, host, html): of the pages of a host that read the same, one; page is a hash of host and html.
 
-    Tags, scripts, styles and white space don't count. Only pages that have copies are shuffled with their html, after one of a kind is left in each task.
+    Tags, scripts, styles and white space don't count; what each page reads is hashed once. Only pages that have copies are shuffled
+    with their html, after one of a kind is left in each task.
     """
     said = F.regexp_replace(F.regexp_replace("html", UNREAD, " "), r"\s+", " ")
-    keyed = pages.where("html is not null").select("host", "html", F.xxhash64("host", said).alias("page"))
-    copied = cut(keyed.groupBy("page").agg(F.count("*").alias("n")).where("n > 1"))
-    some, alone = split(keyed, "page", copied, "page")
-    return alone.select("page", "host", "html").unionByName(some.groupBy("page", "host").agg(F.min("html").alias("html")))
+    hashed = pages.where("html is not null").select("host", "html", F.xxhash64("host", "html").alias("page"))
+    keys = cut(hashed.select("page", F.xxhash64("host", said).alias("said")))
+    copied = cut(keys.groupBy("said").agg(F.count("*").alias("n"), F.min("page").alias("first")).where("n > 1").select("said", "first"))
+    again = cut(keys.join(copied, "said").select("page", "first").distinct())
+    some, alone = split(hashed, "page", again, "page")
+    left = some.join(again, "page", "left").where("first is null or page = first")
+    return alone.select("page", "host", "html").unionByName(left.groupBy("page", "host").agg(F.min("html").alias("html")))
 
 
 TOKENS = "host string, token long, n int, page long, off boolean, article boolean, holds boolean, depth int, mass long"
