@@ -22,7 +22,8 @@ def split(df: DataFrame, key: str, members: DataFrame, column: str) -> tuple[Dat
     part need be shuffled for an exact join. Both columns have one type.
     """
     marks = members.where(F.col(column).isNotNull()).select(_number(F.col(column)).alias("n"))
-    marks = cut(marks.groupBy(F.bitmap_bucket_number("n").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("__bits")))
+    marks = marks.groupBy(F.bitmap_bucket_number("n").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("__bits"))
+    marks = cut(marks.repartition(1))  # 4 MB at most: one file
     at = F.bitmap_bit_position(_number(F.col(key)))
     flagged = df.withColumns({"__bucket": F.bitmap_bucket_number(_number(F.col(key))), "__at": at}).join(F.broadcast(marks), "__bucket", "left")
     byte = F.expr("shiftright(cast(conv(hex(substring(__bits, cast(__at div 8 as int) + 1, 1)), 16, 10) as int), cast(__at % 8 as int)) & 1")
