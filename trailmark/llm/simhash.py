@@ -413,8 +413,8 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     base = docs.select(F.col(doc_id).cast("long").alias("row_id"), F.col(text).alias("text")).where("row_id is not null and text is not null")
     radius = safe_radius(similarity)
     sets = cut(_sets_of(base, shingle, *block_keys(similarity, recall)))
-    # One class per equal sets.
-    classes = sets.groupBy("d1", "d2").agg(F.min("row_id").alias("rep"), F.count("*").alias("n"))
+    # One class per equal sets. Cut, so that joins with it have plain exchanges on both sides, which can be split where a class is large.
+    classes = cut(sets.groupBy("d1", "d2").agg(F.min("row_id").alias("rep"), F.count("*").alias("n")))
     same = sets.join(classes.where("n > 1"), ["d1", "d2"]).select(F.col("row_id").alias("a"), F.col("rep").alias("b"))
     reps = sets.join(classes, ["d1", "d2"]).where("row_id = rep").select("row_id", "keys")
     keyed = reps.select("row_id", F.posexplode("keys").alias("band", "key"))

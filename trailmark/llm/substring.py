@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from trailmark.llm.runtime import cut, kept, listed, pieces, read_text, remove, scratch, split, write_text
 from trailmark.llm.textops import U, Words, runs, slide, spans
@@ -166,6 +167,13 @@ def repeats(batch: DataFrame, index: FingerprintIndex, window: int = WINDOW) ->
     new, rows = index._read([run]), index._read([log])
     work = f"{index.path}/work-{index.made:05d}"  # what only this batch needs; removed at its end
     remove(index.spark, work)
+    held_back: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        """df on the executors' disks, to be read more than once; what is lost with an executor is made again from the index's files."""
+        held_back.append(df.persist(StorageLevel.DISK_ONLY))
+        return df
+
     if old is None:
         known = new.select("fp", "span", "doc", F.lit(False).alias("past"))
         met = known.select("fp", "span", F.lit(True).alias("fresh"))
@@ -174,33 +182,33 @@ def repeats(batch: DataFrame, index: FingerprintIndex, window: int = WINDOW) ->
         near = split(old, "fp", new, "fp")[0]
         held = near.select("fp", "span", F.lit(True).alias("past"))
         held = held.distinct() if len(index.runs) > 1 else held
-        known = kept(_merge(new, held, ["fp", "span"], "left").select("fp", "span", "doc", F.coalesce("past", F.lit(False)).alias("past")), f"{work}/known")
+        known = hold(_merge(new, held, ["fp", "span"], "left").select("fp", "span", "doc", F.coalesce("past", F.lit(False)).alias("past")))
         met = known.select("fp", "span", (~F.col("past")).alias("fresh")).union(near.select("fp", "span", F.lit(False)))
-    # Fingerprints with different spans, one of them new at least.
+    # Fingerprints with different spans, one of them new at least. Tables, here and below, where a join must be able to split common keys: it has plain exchanges then.
     mixed = kept(met.groupBy("fp").agg((F.min("span") != F.max("span")).alias("mixed"), F.max("fresh").alias("fresh")).where("mixed and fresh").select("fp"), f"{work}/mixed")
     again = rows.groupBy("fp", "span").agg(F.max("doc").alias("last"))
     again = kept(_merge(known, again, ["fp", "span"]).where("past or last > doc").select("fp", "span", "doc", "past"), f"{work}/again")
     some = split(rows.withColumn("key", _key("fp", "span")), "key", again.select(_key("fp", "span").alias("key")), "key")[0]
     whole = _merge(some.select("fp", "span", F.col("doc").alias("who")), again, ["fp", "span"]).where("past or who > doc").select(F.col("who").alias("doc"), "span")
     # One document of each such span, the first, shows its windows.
-    windows = _shown(index.windows([log]), known.where("not past").select("fp", "span", "doc"), mixed, f"{work}/wanted").select("fp", "hash", F.col("doc").alias("who"))
+    windows = _shown(index.windows([log]), hold(_merge(known.where("not past").select("fp", "span", "doc"), mixed, ["fp"], "left_semi"))).select("fp", "hash", F.col("doc").alias("who"))
     if old is not None:
-        past = _shown(index.windows(old_logs), near.select("fp", "span", "doc"), mixed, f"{work}/wanted-past")
+        past = _shown(index.windows(old_logs), hold(_merge(near.select("fp", "span", "doc"), mixed, ["fp"], "left_semi")))
         windows = windows.union(past.select("fp", "hash", F.lit(PAST).cast("long").alias("who")))
     windows = kept(windows, f"{work}/windows")
-    # A table of its own, so that the join has plain exchanges on both sides, which can be split where a window is common.
     first = kept(windows.groupBy("fp", "hash").agg(F.min("who").alias("own"), F.max("who").alias("last")).where("own < last").select("fp", "hash", "own"), f"{work}/first")
     single = _merge(windows, first, ["fp", "hash"]).where("who > own").select(F.col("who").alias("doc"), "hash")
     found = whole.select("doc", "span", F.lit(None).cast("long").alias("hash")).union(single.select("doc", F.lit(None).cast("long").alias("span"), "hash"))
     found = cut(found.groupBy("doc").agg(F.collect_set("span").alias("spans"), F.collect_set("hash").alias("windows")))
+    for df in held_back:
+        df.unpersist()
     remove(index.spark, work)
     index.commit(run, log)
     return found
 
 
-def _shown(log: DataFrame, firsts: DataFrame, mixed: DataFrame, path: str) -> DataFrame:
-    """(fp, hash, doc): the windows of firsts (fp, span, doc) whose fingerprint is in mixed, from a log."""
-    wanted = kept(_merge(firsts, mixed, ["fp"], "left_semi"), path)
+def _shown(log: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(fp, hash, doc): the windows of wanted (fp, span, doc), from a log."""
     some = split(log.withColumn("key", _key("fp", "span", "doc")), "key", wanted.select(_key("fp", "span", "doc").alias("key")), "key")[0]
     return some.join(wanted.hint("merge"), ["fp", "span", "doc"], "left_semi").select("fp", "doc", F.explode("windows").alias("hash"))
 
