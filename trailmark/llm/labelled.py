@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +43,13 @@ def within(rows: DataFrame, size: Column, most: int) -> DataFrame:
     if total <= most:
         return rows
     return rows.where(F.pmod(F.xxhash64("_id", F.lit(18)), F.lit(1 << 20)) < F.lit(round(most / total * (1 << 20))))
+
+
+def give_back() -> None:
+    """Return what training took to the system, so that a small driver has it for what follows."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # no glibc
+        pass

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailmark.llm.labelled import fold, training_rows, within
+from trailmark.llm.labelled import fold, give_back, training_rows, within
 from trailmark.llm.runtime import pieces
 from trailmark.llm.textops import U, Words, combine, hash_ranges
 
@@ -147,7 +147,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     # Views of the table's own memory, by id.
     bag = [(np.asarray(a.values), np.asarray(b.values)) for a, b in zip(got.column("ids"), got.column("counts"))]
     order = pc.sort_indices(got, [("_id", "ascending")]).to_numpy()
-    return train([bag[i] for i in order], got.column("label").to_numpy()[order], bits)
+    model = train([bag[i] for i in order], got.column("label").to_numpy()[order], bits)
+    del got, bag
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Embeddings, text: str = "text", threshold: float = 0.3, bits: int = BITS) -> DataFrame:

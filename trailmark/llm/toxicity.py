@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailmark.llm.labelled import fold, training_rows, within
+from trailmark.llm.labelled import fold, give_back, training_rows, within
 from trailmark.llm.runtime import pieces
 from trailmark.llm.textops import U, Words, hash_ranges
 
@@ -179,7 +179,7 @@ def train(lists: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors
     return Machine(slot, b, w, v)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4, held_out: int = 2, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", bits: int = BITS, most: int = MOST) -> Machine:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4, held_out: int = 2, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", bits: int = BITS, most: int = MOST, pair_most: int = PAIR_MOST) -> Machine:
     """A machine from a bounded sample of the labelled rows outside fold held_out: about `sample` rows and `most` distinct terms at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +191,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4
     got = within(rows, F.size("terms"), most).toArrow()
     order = pc.sort_indices(got, [("_id", "ascending")]).to_numpy()
     lists = [np.asarray(x.values) for x in got.column("terms")]
-    return train([lists[i] for i in order], got.column("label").to_numpy()[order], bits)
+    model = train([lists[i] for i in order], got.column("label").to_numpy()[order], bits, pair_most=pair_most)
+    del got, lists
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text", threshold: float = 0.3, bits: int = BITS) -> DataFrame:
