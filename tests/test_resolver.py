@@ -308,3 +308,52 @@ def test_rounds_of_a_walk_shuffle_paths_only(spark, archive, built):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("trailmark_")]
+
+
+def test_provenance_leaves_its_result_only(spark, archive):
+    from pathlib import Path
+
+    from trailmark.operators.lineage import shared_dir
+
+    there = lambda: {p.name for p in Path(shared_dir(spark)).glob("trailmark-*")}
+    before = there()
+    proved = C.provenance(archive)
+    assert len(there() - before) == 1 and proved.count() > 0
+
+
+def test_a_scope_removes_what_was_cut_in_it(spark):
+    from pathlib import Path
+
+    from trailmark.operators.lineage import cut, scope
+
+    with scope():
+        kept = cut(spark.range(3))
+        assert kept.count() == 3
+    assert not Path(kept._trailmark_path).exists()
+
+
+def test_a_short_prefix_looks_among_what_the_origin_leads_to(spark, archive):
+    """Not among all revisions of the archive, whose number by that of groups would be the rows of a join."""
+    rows = A.as_requests(requests(spark, [("o/b", "9", "src"), ("github.com/o/b", "9", "src")]))
+    proved = C.provenance(archive)
+    found = C.passing_by_origin(rows, archive, 0, False, proved)
+    origin = C.asked_origins(rows, archive)
+    assert found.count() == proved.join(origin, "origin").count() < archive.of_type("rev").count()
+
+
+def test_a_small_frontier_takes_single_steps_for_longer(spark, monkeypatch):
+    from trailmark.operators import closure as module
+
+    monkeypatch.setattr(module, "_jumps", lambda single: pytest.fail("jumps over the whole graph"))
+    edges = [(k, k + 1) for k in range(12)] + [(1000 + k, 1001 + k) for k in range(50)]
+    got = closure(spark.createDataFrame([(0,)], "node long"), spark.createDataFrame(edges, "src long, dst long"), patience=4)
+    assert got.count() == 13
+
+
+def test_the_derived_archive_is_made_by_type(spark):
+    from trailmark.sources.derived import archive_for
+
+    a = archive_for(spark, "/root/testdata/sf0.001")
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (a.of_type("ori"), a.of_type("rev"), a.links("ori", "snp"), a.links("rev", "rev"))]
+    assert not any("lineitem" in p for p in plans)
+    assert "lineitem" in a.links("dir", "dir")._jdf.queryExecution().executedPlan().toString()

@@ -8,7 +8,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from trailmark.operators.lineage import cut, scratch
+from trailmark.operators.lineage import checkpointed as cut
+from trailmark.operators.lineage import scratch
 from trailmark.operators.membership import split
 
 __all__ = ["cut", "kept", "listed", "pieces", "read_text", "remove", "scratch", "split", "write_text"]

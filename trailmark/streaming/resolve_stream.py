@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from trailmark.operators.lineage import scope
 from trailmark.plans.resolve import resolve
 from trailmark.sources.archive import OUTPUT, Archive
 
@@ -18,8 +19,9 @@ def resolve_stream(spark: SparkSession, path: str, archive: Archive, out_dir: st
     schema = "repo string, commit_id string, rel_path string, bin string"
 
     def each(batch: DataFrame, n: int) -> None:
-        rows = resolve(batch, archive, prefix_nibbles).select(*OUTPUT, "bin")
-        rows.write.mode("overwrite").partitionBy("bin").option("compression", "zstd").parquet(f"{out_dir}/batch={n}")
+        with scope():
+            rows = resolve(batch, archive, prefix_nibbles).select(*OUTPUT, "bin")
+            rows.write.mode("overwrite").partitionBy("bin").option("compression", "zstd").parquet(f"{out_dir}/batch={n}")
 
     stream = spark.readStream.schema(schema).parquet(path)
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
