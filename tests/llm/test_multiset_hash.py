@@ -2,7 +2,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from trailmark.llm.multiset_hash import add, fingerprint_edits, paragraph_vectors, same, to_hex
+from trailmark.llm.multiset_hash import add, fingerprint_edits, likeness, paragraph_vectors, same, to_hex
 
 
 def test_homomorphic(spark):
@@ -106,3 +106,8 @@ def test_fingerprints_and_likeness_spelt_out(spark, docs):
         assert got[i]["edited_fingerprint"] == "".join(f"{v:08x}" for v in changed)
         assert abs(got[i]["near_edited"] - likeness_of(own, changed)) < 1e-9
         assert abs(got[i]["near_next"] - likeness_of(own, following)) < 1e-9
+
+
+def test_likeness_is_little_code(spark):
+    """Lanes spelt out one by one are code whose compilation took over an executor's memory."""
+    assert len(str(likeness(F.col("a"), F.col("b")))) < 5000

@@ -13,8 +13,6 @@ the counts of word pairs, and is never below 0.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -45,12 +43,14 @@ def _vectors(texts: DataFrame, keys: list[str]) -> DataFrame:
     # Bits k and k + 32 of a hash are counted in the halves of one sum: counts stay below 2**31.
     sums += [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(PAIRED))).alias(f"c{k}") for k in range(32)]
     out = items.groupBy(*keys).agg(*sums)
+    # Lanes are made by lambdas: spelt out one by one they are code whose compilation takes an executor's memory.
     n = F.coalesce("n", F.lit(0))
-    low = [F.coalesce(F.col(f"c{k}"), F.lit(0)).bitwiseAND(F.lit(M32)) for k in range(32)]
-    high = [F.shiftrightunsigned(F.coalesce(F.col(f"c{k}"), F.lit(0)), 32) for k in range(32)]
-    lanes = [c.bitwiseAND(F.lit(M32)) for k in range(IDENTITY // 2) for c in (F.col(f"i{k}"), F.col(f"j{k}"))]
-    lanes += [n.bitwiseAND(F.lit(M32))] + [F.lit(2) * c - n for c in low + high]
-    return out.select(*keys, F.array(*[_wrap(x).cast("int") for x in lanes]).alias("v"))
+    identity = F.array(*[c for k in range(IDENTITY // 2) for c in (F.col(f"i{k}"), F.col(f"j{k}"))])
+    counts = F.array(*[F.coalesce(F.col(f"c{k}"), F.lit(0)) for k in range(32)])
+    out = out.select(*keys, n.alias("n"), identity.alias("i"), counts.alias("c"))
+    low = F.transform("c", lambda c: F.lit(2) * c.bitwiseAND(F.lit(M32)) - F.col("n"))
+    high = F.transform("c", lambda c: F.lit(2) * F.shiftrightunsigned(c, 32) - F.col("n"))
+    return out.select(*keys, F.transform(F.concat("i", F.array("n"), low, high), lambda x: _wrap(x).cast("int")).alias("v"))
 
 
 def to_hex(v: Column | str) -> Column:
@@ -79,10 +79,13 @@ def likeness(a: Column, b: Column) -> Column:
     """1 for equal fingerprints, else the cosine of the signed lanes, 0 at least."""
 
     def dot(x: Column, y: Column) -> Column:
-        return reduce(lambda s, t: s + t, [F.get(x, F.lit(i)).cast("double") * F.get(y, F.lit(i)).cast("double") for i in range(IDENTITY + 1, LANES)])
+        first = IDENTITY + 2
+        products = F.zip_with(F.slice(x, first, SIGNED), F.slice(y, first, SIGNED), lambda p, q: p.cast("double") * q.cast("double"))
+        return F.aggregate(products, F.lit(0.0), lambda s, t: s + t)
 
-    both = F.sqrt(dot(a, a) * dot(b, b))
-    return F.when(same(a, b), F.lit(1.0)).when(both > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), dot(a, b) / both))).otherwise(F.lit(0.0))
+    both = F.named_struct(F.lit("norms"), F.sqrt(dot(a, a) * dot(b, b)), F.lit("dot"), dot(a, b))
+    cosine = F.get(F.transform(F.array(both), lambda s: F.when(s["norms"] > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), s["dot"] / s["norms"]))).otherwise(F.lit(0.0))), F.lit(0))
+    return F.when(same(a, b), F.lit(1.0)).otherwise(cosine)
 
 
 def paragraph_vectors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
