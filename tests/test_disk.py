@@ -1,14 +1,18 @@
 """What keeps the archive queries' work tables and shuffles small."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from tests.conftest import DATA
 from trailmark.functions import scalars as S
 from trailmark.operators import candidates as C
+from trailmark.operators import paths as P
 from trailmark.operators.closure import closure
 from trailmark.operators.membership import split
 from trailmark.plans.queries import candidate_rows
-from trailmark.sources.derived import archive_for
+from trailmark.sources import archive as A
+from trailmark.sources.derived import archive_for, requests_for
 
 
 def test_winners_are_not_shuffled_to_the_requests(spark):
@@ -19,6 +23,38 @@ def test_winners_are_not_shuffled_to_the_requests(spark):
     assert executed.count("Exchange hashpartitioning") <= 1
 
 
+def test_joins_sort_by_columns(spark):
+    """Before, requests were sorted by their URL and key, made anew by patterns in each comparison."""
+    r = spark.createDataFrame([("a/b", "1234567")], "repo string, commit_id string")
+    found = spark.createDataFrame([(1, "u", "1234567", 1)], "ask long, origin_url string, key string, root long")
+    rows = spark.createDataFrame([("a/b", "swh:1:rev:1")], "repo string, rev_swhid string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (C._asked(r, found, 7, False), C._asked(r, found, 7, False, True, "left"), P.seeds(rows, archive_for(spark, DATA))):
+            joins = re.findall(r"SortMergeJoin(?:\(skew=true\))? \[(.*?)\], \[(.*?)\], ", df._jdf.queryExecution().sparkPlan().toString())
+            assert joins and all(re.fullmatch(r"\w+#\d+L?", k) for pair in joins for k in pair)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_urls_with_prefixes_and_suffixes_only(spark):
+    urls = ["github.com/.git", "https://github.com/github.com/.git", "https://github.com/git", "github.com/x.git", "https://github.com/github.com", "xgithub.com/a", "a/github.com/b.git", ".git", "a.git", "git"]
+    got = {r["u"]: r["c"][len(S.HOST) :] for r in spark.createDataFrame([(u,) for u in urls], "u string").select("u", S.canonical_url("u").alias("c")).collect()}
+    assert list(got.values()) == ["", "", "git", "x", "github.com", "xgithub.com/a", "a/github.com/b", "", "a", "git"]
+
+
+def test_other_requests_of_the_same_number(spark):
+    """What shares the number of another URL and key, but not them, meets nothing."""
+    r = spark.createDataFrame([("a/b", "1234567"), ("a/c", "1234567"), ("a/b", "zz")], "repo string, commit_id string")
+    ask = r.limit(1).select(C._ask(S.canonical_url("repo"), C.asked_key(7, False)).alias("ask")).first()["ask"]
+    found = spark.createDataFrame(
+        [(ask, "https://github.com/a/other", "1234567", 1), (ask, "https://github.com/a/b", "7654321", 2), (ask, "https://github.com/a/b", "1234567", 3)],
+        "ask long, origin_url string, key string, root long",
+    )
+    assert [tuple(x) for x in C._asked(r, found, 7, False).select("repo", "root").collect()] == [("a/b", 3)]
+    assert sorted(map(str, (x["root"] for x in C._asked(r, found, 7, False, True, "left").collect()))) == ["3", "None", "None"]
+
+
 def test_closure_makes_its_edges_once(spark):
     made = spark.sparkContext.accumulator(0)
 
