@@ -113,3 +113,10 @@ def test_groups_are_counted_with_one_shuffle(spark):
         assert met.count() == met.select("repo", "commit_id").distinct().count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hashes_are_packed_without_loss(spark):
+    ids = ["swh:1:rev:" + "0a" * 20, "swh:1:rev:" + "0A" * 20, "swh:1:rev:12", "swh:1:rev:xyz", None, "", "swh:1:rev:" + "ab" * 21, "swh:1:rev:" + "1" * 39]
+    hash_, text = S.packed("i")
+    rows = spark.createDataFrame([(i,) for i in ids], "i string").select("i", hash_.alias("h"), text.alias("t")).withColumn("u", S.unpacked("h", "t")).collect()
+    assert [r["u"] for r in rows] == ids and [r["h"] is not None for r in rows] == [True] + [False] * 7
