@@ -12,7 +12,7 @@ from trailmark.operators import paths as P
 from trailmark.operators.closure import closure
 from trailmark.operators.membership import split
 from trailmark.plans.queries import _proved as candidates_proved
-from trailmark.plans.queries import candidate_rows
+from trailmark.plans.queries import candidate_rows, candidates_prefix
 from trailmark.sources import archive as A
 from trailmark.sources.derived import archive_for, requests_for
 
@@ -138,3 +138,15 @@ def test_seeds_of_several_revisions(spark):
     assert D.seed_counts(df).first().asDict() == want
     known = spark.createDataFrame([("swh:1:rev:a", 1)], "rev_swhid string, root long")
     assert D.seed_counts(df, known).first().asDict() == want | {"missing_roots": 2}
+
+
+def test_groups_of_known_origins_take_no_url_along(spark):
+    """Before, groups were shuffled with their URL and its SWHID to the origins, and all of it lay about at the join with revisions."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        executed = candidates_prefix(spark, DATA)._jdf.queryExecution().executedPlan().toString()
+        assert executed.count("Exchange hashpartitioning") <= 3 and "origin_swhid" not in executed
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    a, r = archive_for(spark, DATA), A.as_requests(requests_for(spark, DATA, "7"))
+    assert sorted(map(tuple, C.known_groups(r, a).collect())) == sorted(map(tuple, C.with_origin(C.groups(r), a).select("repo", "commit_id").collect()))

@@ -105,7 +105,7 @@ def origin_snapshots(spark, d):
 def candidates_prefix(spark, d):
     a = archive_for(spark, d)
     # Groups and revisions are distinct, and so are their pairs.
-    return C.candidates(C.with_origin(C.groups(_requests(spark, d)), a), a, TIES + 1, False).select("repo", "commit_id", "rev_swhid")
+    return C.candidates(C.known_groups(_requests(spark, d), a), a, TIES + 1, False).select("repo", "commit_id", "rev_swhid")
 
 
 def provenance_pass(spark, d):
