@@ -12,7 +12,8 @@ from trailmark.operators import paths as P
 from trailmark.operators.closure import closure
 from trailmark.operators.membership import split
 from trailmark.plans.queries import _proved as candidates_proved
-from trailmark.plans.queries import candidate_rows, candidates_prefix
+from trailmark.plans.queries import candidate_rows, candidates_prefix, status_histogram
+from trailmark.plans.resolve import count_statuses, resolve_candidates
 from trailmark.sources import archive as A
 from trailmark.sources.derived import archive_for, requests_for
 
@@ -160,6 +161,17 @@ def _built(spark):
     return spark.createDataFrame(rows, "repo string, commit_id string, rel_path string, id string, origin_url string, rev_swhid string, file_path string, bin string, root long"), a
 
 
+def test_statuses_are_counted_without_rows(spark):
+    """Before, all output rows were made and written to be counted."""
+    rows, a = _built(spark)
+    want = {r["status"]: r["n"] for r in D.status_histogram(resolve_candidates(rows, a)).collect()}
+    got = count_statuses(P.counted_paths(rows), a)
+    assert {r["status"]: r["n"] for r in got.collect()} == want == {"ok": 4, "path_not_found": 3}
+    assert "qualified" not in status_histogram(spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    tables = [p for p in status_histogram(spark, DATA).inputFiles() if "cut" in p]
+    assert tables and not any("repo" in spark.read.parquet(p).columns for p in tables)
+
+
 def test_names_are_written_before_entries_are_made(spark):
     """Before, the shuffle of the rows lay about while names of all entries were shuffled, asked for or not."""
     rows, a = _built(spark)
