@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import DATA
@@ -11,8 +12,9 @@ from trailmark.operators import diagnostics as D
 from trailmark.operators import paths as P
 from trailmark.operators.closure import closure
 from trailmark.operators.membership import split
+from trailmark.plans import queries
 from trailmark.plans.queries import _proved as candidates_proved
-from trailmark.plans.queries import candidate_rows, candidates_prefix, status_histogram
+from trailmark.plans.queries import candidate_rows, candidates_prefix, path_walk, status_histogram
 from trailmark.plans.resolve import count_statuses, resolve_candidates
 from trailmark.sources import archive as A
 from trailmark.sources.derived import archive_for, requests_for
@@ -178,3 +180,10 @@ def test_names_are_written_before_entries_are_made(spark):
     got = P.matched_components(rows, a)
     assert any("trailmark-cut" in p for p in got.inputFiles())
     assert sorted(map(tuple, got.collect())) == [(b"a", True), (b"b", True), (b"x", False)]
+
+
+@pytest.mark.parametrize("query", [path_walk])
+def test_walks_need_no_whole_rows(spark, monkeypatch, query):
+    """Before, all columns of the rows were written for a walk that takes roots and paths."""
+    monkeypatch.setattr(queries, "_cands", None)
+    assert query(spark, DATA).count() > 0

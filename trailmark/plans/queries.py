@@ -159,9 +159,9 @@ def hydrated_entries(spark, d):
 
 
 def path_walk(spark, d):
-    c = _cands(spark, d)
-    with P.pruned(c, archive_for(spark, d)) as entries:
-        return P.walk(c, entries).withColumn("leaf", F.coalesce("leaf", F.lit(0)))
+    p = _paths(spark, d)
+    with P.pruned(p, archive_for(spark, d)) as entries:
+        return P.walk(p, entries, counted=True).drop("n").withColumn("leaf", F.coalesce("leaf", F.lit(0)))
 
 
 def direct(spark, d):
