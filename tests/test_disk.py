@@ -14,7 +14,7 @@ from trailmark.operators.closure import closure
 from trailmark.operators.membership import split
 from trailmark.plans import queries
 from trailmark.plans.queries import _proved as candidates_proved
-from trailmark.plans.queries import candidate_rows, candidates_prefix, path_walk, status_histogram
+from trailmark.plans.queries import candidate_rows, candidates_prefix, hydrated_entries, path_walk, status_histogram
 from trailmark.plans.resolve import count_statuses, resolve_candidates
 from trailmark.sources import archive as A
 from trailmark.sources.derived import archive_for, requests_for
@@ -182,7 +182,7 @@ def test_names_are_written_before_entries_are_made(spark):
     assert sorted(map(tuple, got.collect())) == [(b"a", True), (b"b", True), (b"x", False)]
 
 
-@pytest.mark.parametrize("query", [path_walk])
+@pytest.mark.parametrize("query", [path_walk, hydrated_entries])
 def test_walks_need_no_whole_rows(spark, monkeypatch, query):
     """Before, all columns of the rows were written for a walk that takes roots and paths."""
     monkeypatch.setattr(queries, "_cands", None)

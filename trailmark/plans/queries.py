@@ -155,7 +155,7 @@ def reachable(spark, d):
 
 
 def hydrated_entries(spark, d):
-    return P.hydrated_entries(_cands(spark, d), archive_for(spark, d)).groupBy("dir").agg(F.count("*").alias("n"), F.min("child").alias("first"), F.max("child").alias("last"))
+    return P.hydrated_entries(_paths(spark, d), archive_for(spark, d)).groupBy("dir").agg(F.count("*").alias("n"), F.min("child").alias("first"), F.max("child").alias("last"))
 
 
 def path_walk(spark, d):
