@@ -174,6 +174,29 @@ def test_statuses_are_counted_without_rows(spark):
     assert tables and not any("repo" in spark.read.parquet(p).columns for p in tables)
 
 
+def test_rows_are_shuffled_once_to_their_paths(spark):
+    """Before, rows that had met their path were shuffled again to its content, those without one to a single task."""
+    rows, a = _built(spark)
+    walked = P.walk(rows, a.entries)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = P.met_paths(rows, walked, a)
+        plan = met._jdf.queryExecution().optimizedPlan().toString()
+        assert re.findall(r"Join (\w+)", plan) == ["Inner", "LeftOuter"]  # from the top: rows with paths, and below that paths with contents
+        assert "isnotnull(leaf" in plan and met.count() == 7
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_written_rows_repeat_nothing(spark):
+    """Before, what several queries share was written with the qualified id, which has all of its row's ids once more."""
+    rows, a = _built(spark)
+    got = resolve_candidates(rows, a, written=True)
+    (path,) = {p.rsplit("/", 1)[0] for p in got.inputFiles()}
+    assert not {"qualified", "file_path", "root"} & set(spark.read.parquet(path).columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, resolve_candidates(rows, a).collect()))
+
+
 def test_names_are_written_before_entries_are_made(spark):
     """Before, the shuffle of the rows lay about while names of all entries were shuffled, asked for or not."""
     rows, a = _built(spark)
