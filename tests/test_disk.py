@@ -13,6 +13,7 @@ from trailmark.operators import paths as P
 from trailmark.operators.closure import closure
 from trailmark.operators.membership import split
 from trailmark.plans import queries
+from trailmark.plans import resolve as R
 from trailmark.plans.queries import _proved as candidates_proved
 from trailmark.plans.queries import candidate_rows, candidates_prefix, hydrated_entries, path_walk, status_histogram
 from trailmark.plans.resolve import count_statuses, resolve_candidates
@@ -210,3 +211,29 @@ def test_walks_need_no_whole_rows(spark, monkeypatch, query):
     """Before, all columns of the rows were written for a walk that takes roots and paths."""
     monkeypatch.setattr(queries, "_cands", None)
     assert query(spark, DATA).count() > 0
+
+
+def test_direct_walk_keeps_pairs_where_they_are(spark, monkeypatch):
+    """Before, each level of a recursive query shuffled whole pairs twice, and all levels' files lay about until its end."""
+    rows, a = _built(spark)
+    plans, dealt = [], R.dealt
+
+    def seen(df, *by):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return dealt(df, *by)
+
+    monkeypatch.setattr(R, "dealt", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = R.direct_walk(lambda: rows.withColumn("n", F.length("rel_path")), a, "n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(tuple, got.collect())) == [("swh:1:rev:1", "./a", 3, 3), ("swh:1:rev:1", "a", 1, 3), ("swh:1:rev:1", "b", 1, 4)]
+    assert len(plans) == 2 and all("Bucketed: true" in p for p in plans) and plans[1].count("Exchange") == 1
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("trailmark_")]
+
+
+def test_direct_walk_needs_no_whole_rows(spark, monkeypatch):
+    """Before, all columns of the candidate rows were written for it."""
+    monkeypatch.setattr(queries, "_cands", None)
+    assert queries.direct(spark, DATA).count() > 0
