@@ -237,3 +237,32 @@ def test_direct_walk_needs_no_whole_rows(spark, monkeypatch):
     """Before, all columns of the candidate rows were written for it."""
     monkeypatch.setattr(queries, "_cands", None)
     assert queries.direct(spark, DATA).count() > 0
+
+
+def test_rows_are_verified_by_counts(spark, monkeypatch):
+    """Before, all output rows were made and written, met their paths by a shuffle, and were shuffled again to what was found."""
+    rows, a = _built(spark)
+    counted = rows.groupBy("rev_swhid", "root", "rel_path").agg(F.count("*").alias("n"))
+    want = R.verify(a, resolve_candidates(rows, a), None).first().asDict()
+    assert R.count_verified(lambda: counted, a).first().asDict() == want == {"sampled": 4, "matched": 4, "mismatched": 0, "unresolved": 0, "other": 3}
+    # A walk that is wrong is found out: one pair leads elsewhere, another isn't found again.
+    right = P.walk_dealt(counted, a, "rev_swhid")
+    leaf = F.when(F.col("rel_path") == "b", F.lit(3)).when(F.col("rel_path") == "x", F.lit(4)).otherwise(F.col("leaf"))
+    wrong = right.withColumn("leaf", leaf).withColumn("status_detail", F.when(F.col("rel_path") == "x", "ok").otherwise(F.col("status_detail")))
+    monkeypatch.setattr(R, "walk_dealt", lambda *_: wrong)
+    assert R.count_verified(lambda: counted, a).first().asDict() == {"sampled": 5, "matched": 3, "mismatched": 1, "unresolved": 1, "other": 2}
+
+
+def test_dealt_walks_say_what_walks_say(spark):
+    rows, a = _built(spark)
+    want = P.walk(rows, a.entries).collect()
+    got = P.walk_dealt(rows.withColumn("n", F.lit(1)), a).collect()
+    said = [sorted((str(r["root"]), r["rel_path"], str(r["leaf"]), r["status_detail"]) for r in x) for x in (got, want)]
+    assert said[0] == said[1]
+    assert sum(r["n"] for r in got) == 7
+
+
+def test_verified_counts_make_no_rows(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_resolved", None)
+    got = queries.verify_counts(spark, DATA).first()
+    assert got["sampled"] == got["matched"] > 0
